@@ -1,0 +1,2 @@
+"""Nothing to stream: all inputs of this job are finite. The expressions in
+`gapwright.functions.scalars` are row-local and work on a streaming DataFrame as they are."""
