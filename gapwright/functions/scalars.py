@@ -218,12 +218,20 @@ def nan_to_null(col: Column) -> Column:
 
 
 def as_text(col: Column, dtype: str) -> Column:
-    """Text of any column; whole doubles without a trailing `.0`."""
+    """Text of any column. Whole doubles have no fraction, the others no exponent from 1e-4 to 1e15."""
     text = col.cast("string")
     if dtype not in ("double", "float"):
         return text
-    whole = (col == F.floor(col)) & (F.abs(col) < 1e15)
-    return F.when(whole, col.try_cast("bigint").cast("string")).otherwise(text)
+    size = F.abs(col)
+    whole = (col == F.floor(col)) & (size < 1e15)
+    small, large = (size >= 1e-4) & (size < 1e-3), (size >= 1e7) & (size < 1e15)
+    lower = F.regexp_replace(F.regexp_replace(text, r"(\.0)?E", "e"), r"e-(\d)$", "e-0$1")
+    return (
+        F.when(whole, col.try_cast("bigint").cast("string"))
+        .when(small, F.rtrim(col.try_cast("decimal(38,24)").cast("string"), F.lit("0")))
+        .when(large, F.rtrim(col.try_cast("decimal(38,10)").cast("string"), F.lit("0")))
+        .otherwise(lower)
+    )
 
 
 def render(col: Column, dtype: str, missing: str = "n/a") -> Column:
