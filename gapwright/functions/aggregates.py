@@ -88,16 +88,22 @@ class Staged:
     merge: dict[str, Callable[[Column], Column]]
     result: Callable[[dict[str, Column]], Column]
 
-    def combine(self, where: Column | None = None) -> list[Column]:
-        """Aggregates that combine the parts; `where` leaves out rows foreign to this aggregate."""
-        return [
-            merge(F.col(name) if where is None else F.when(where, F.col(name))).alias(name)
-            for name, merge in self.merge.items()
-        ]
+    def combine(self) -> list[Column]:
+        """Aggregates that combine the parts, under the same names."""
+        return [merge(F.col(name)).alias(name) for name, merge in self.merge.items()]
 
     def finish(self) -> Column:
         """The value, as an aggregate over parts."""
-        return self.result({name: merge(F.col(name)) for name, merge in self.merge.items()})
+        return self.finish_where(None)
+
+    def finish_where(self, where: Column | None) -> Column:
+        """The value over those parts only that satisfy `where`."""
+        return self.result(
+            {
+                name: merge(F.col(name) if where is None else F.when(where, F.col(name)))
+                for name, merge in self.merge.items()
+            }
+        )
 
 
 def row_parts(stages: Iterable[Staged]) -> dict[str, Column]:

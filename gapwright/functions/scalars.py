@@ -104,36 +104,22 @@ def choose_by_sign(value: Column, at_or_above: str, below: str, strict: bool = T
 def fixed3(col: Column) -> Column:
     """Three decimals as text, rounded from the exact binary value; missing stays missing.
 
-    Spark's own `%.3f` rounds the shortest decimal half up (1.0005 -> 1.001, although the double is
-    below that). Only where the shortest decimal is such a tie, the double is compared exactly: it is
-    n / 2^e with whole n, so n * 10^4 is compared with tie * 2^e in whole decimals; an exact tie goes
-    to the even digit.
+    `format_string` would round the shortest decimal half up (1.0005 -> 1.001, although the double is
+    below that). `format_number` rounds the exact value, except that it takes 0.0005 to zero.
     """
-    number = col.cast("double")
-    up = F.format_string("%.3f", number)
-    size = F.when(F.abs(number).between(0.0005, 1e9), F.abs(number))
-    scaled = size.try_cast("decimal(24,12)") * 10000
-    is_tie = scaled % 10 == 5
-    tie = scaled.try_cast("decimal(15,0)")
-
-    e = 54 - F.floor(F.log2(size)).cast("int")
-    n = (size * F.pow(F.lit(2.0), e)).try_cast("bigint").cast("decimal(20,0)")
-    power = F.call_function("shiftleft", F.lit(1).cast("bigint"), e - 8).cast("decimal(19,0)") * 256
-    exact, limit = n * 10000, tie * power
-    goes_down = (exact < limit) | ((exact == limit) & ((tie + 5) % 20 == 10))
-    # Well inside the lower thousandth, so that any rounding ends there.
-    down = F.format_string("%.3f", number - F.signum(number) * 0.0004)
-    text = F.when(is_tie & goes_down, down).otherwise(up)
-    return F.when(number.isNotNull() & ~F.isnan(number), text)
+    number = nan_to_null(col.cast("double"))
+    return F.coalesce(
+        F.when(number == 0.0005, F.lit("0.001")).when(number == -0.0005, F.lit("-0.001")),
+        F.call_function("format_number", number, F.lit("0.000")),
+    )
 
 
 def sig3(col: Column) -> Column:
     """At least one significant digit and three decimals: `fixed3`, but one-digit scientific where shorter."""
-    number = col.cast("double")
+    number = nan_to_null(col.cast("double"))
     size = F.abs(number)
     plain = (size == 0) | ((size >= 0.00095) & (size < 95000))
-    text = F.when(plain, fixed3(number)).otherwise(F.format_string("%.0e", number))
-    return F.when(number.isNotNull() & ~F.isnan(number), text)
+    return F.when(plain, fixed3(number)).when(number.isNotNull(), F.format_string("%.0e", number))
 
 
 def or_na(col: Column) -> Column:

@@ -53,17 +53,21 @@ def ordered_lists(
     order_by: Sequence[str],
     also: Mapping[str, Staged] | None = None,
     sep: str = ";",
+    where: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Per key: each item column joined in row order, duplicates kept, missing spelled `NA`.
 
-    `also` takes further aggregates along in the same two steps.
+    `also` takes further aggregates along in the same two steps; `where` leaves rows out of one list.
     """
-    also = also or {}
+    also, where = also or {}, where or {}
     chunks = (
         df.withColumns(row_parts(also.values()))
         .groupBy(*map(quoted, keys), chunk_value(order_by).alias(CHUNK))
         .agg(
-            *[joined_in_order(item, order_value(order_by), sep).alias(name) for name, item in items.items()],
+            *[
+                joined_in_order(item, order_value(order_by), sep, where.get(name)).alias(name)
+                for name, item in items.items()
+            ],
             *[part for staged in also.values() for part in staged.combine()],
         )
     )

@@ -1,7 +1,8 @@
 """Inputs of the right shape, derived from the test tables.
 
 One SQL text per view serves both engines. Whole tables are read; the tables hold no missing values and
-hardly any repeats, so cells are blanked and keys made foreign by value. Ratios use exact decimals.
+hardly any repeats, so cells are blanked and keys made foreign by value. Measures are multiples of 1/1024
+and weights are whole, so that sums of doubles are exact in any order of summation.
 """
 
 from __future__ import annotations
@@ -41,15 +42,15 @@ VIEWS = {
                cast(CASE WHEN l_partkey % 3 = 0 THEN l_linenumber * 0.05 END AS double) AS sexdet_rate_y,
                cast(CASE WHEN l_partkey % 4 = 0 THEN 0.012 END AS double) AS sexdet_err_x,
                cast(CASE WHEN l_partkey % 3 = 0 THEN 0.034 END AS double) AS sexdet_err_y,
-               CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE cast(l_discount AS decimal(12,4)) END AS endogenous_dna,
+               CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE l_discount END AS endogenous_dna,
                cast(NULL AS bigint) AS covered_snps,
-               CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE cast(l_tax AS decimal(12,4)) END AS damage_5p1,
+               CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE round(l_tax * 100) / 128 END AS damage_5p1,
                CASE WHEN l_partkey % 13 = 0 THEN NULL ELSE cast(floor(l_extendedprice / 100) AS bigint) END AS x_contamination_snps,
-               CASE WHEN l_quantity < 5 THEN NULL ELSE cast(l_discount AS decimal(12,4)) END AS x_contamination,
-               cast(l_tax AS decimal(12,4)) AS x_contamination_error,
-               CASE WHEN l_partkey % 17 = 0 THEN cast(0 AS decimal(12,2))
+               CASE WHEN l_quantity < 5 THEN NULL ELSE round(l_discount * 100) / 128 END AS x_contamination,
+               round(l_tax * 100) / 1024 AS x_contamination_error,
+               CASE WHEN l_partkey % 17 = 0 THEN cast(0 AS double)
                     WHEN l_partkey % 29 = 0 THEN NULL
-                    ELSE cast(l_quantity AS decimal(12,2)) END AS filtered_mapped_reads
+                    ELSE l_quantity END AS filtered_mapped_reads
         FROM {{lineitem}}
         UNION ALL
         SELECT {_SAMPLE_O}, -1,
@@ -78,11 +79,11 @@ VIEWS = {
                cast(l_linenumber * 0.15 AS double) AS rate_x,
                cast(l_linenumber * 0.05 AS double) AS rate_y,
                CASE WHEN l_partkey % 11 = 0 THEN NULL ELSE cast(l_partkey % 100 AS double) / 100 END AS endo,
-               CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE cast((l_partkey % 37) * 0.01 AS decimal(12,4)) END AS dmg,
+               CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE cast(l_partkey % 37 AS double) / 128 END AS dmg,
                CASE WHEN l_partkey % 31 = 0 THEN NULL ELSE cast(l_partkey % 1000 AS bigint) END AS reads,
                CASE WHEN l_partkey % 13 = 0 THEN NULL ELSE cast(l_partkey % 400 AS bigint) END AS snps,
-               cast((l_partkey % 17) * 0.01 AS decimal(12,4)) AS est,
-               cast((l_partkey % 5) * 0.001 AS decimal(12,4)) AS se
+               cast(l_partkey % 17 AS double) / 128 AS est,
+               cast(l_partkey % 5 AS double) / 1024 AS se
         FROM {{lineitem}}""",
 }
 
