@@ -1,0 +1,112 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from tests.helpers import rows
+
+from gapwright.functions import aggregates as A
+from gapwright.operators import joins, lists
+from gapwright.operators import shape
+from gapwright.operators.shape import CHUNK_ROWS
+
+
+@pytest.mark.parametrize(
+    "pairs, mean, pairwise",
+    [
+        ([(1.0, 1.0), (3.0, 3.0)], 2.5, 2.5),
+        ([(1.0, 1.0), (None, 9.0)], 1.0, 1.0),
+        ([(None, 1.0), (None, None)], None, None),
+        ([(1.0, 0.0), (2.0, 0.0)], None, None),
+        # A kept measure without a weight leaves no mean, unless only full pairs count.
+        ([(1.0, 1.0), (2.0, None)], None, 1.0),
+        ([(1.0, None), (None, 2.0)], None, None),
+    ],
+)
+def test_weighted_means(make, pairs, mean, pairwise):
+    df = make("x double, w double", *pairs)
+    x, w = F.col("x"), F.col("w")
+    assert df.agg(A.weighted_mean(x, w)).collect()[0][0] == mean
+    assert df.agg(A.weighted_mean_pairwise(x, w)).collect()[0][0] == pairwise
+    for flag, expected in ((False, mean), (True, pairwise)):
+        staged = A.staged_weighted_mean("m", x, w, pairwise=flag)
+        parts = df.withColumns(staged.rows).withColumn("g", F.monotonically_increasing_id())
+        once = parts.groupBy("g").agg(*staged.combine())
+        assert once.agg(staged.finish()).collect()[0][0] == expected
+
+
+@pytest.mark.parametrize(
+    "values, label", [(["a", "a"], "a"), (["a", "b"], "mixed"), (["a", None], "mixed"), ([None, None], None), (["a"], "a")]
+)
+def test_collapse_or_mixed(make, values, label):
+    df = make("v string", *[(v,) for v in values])
+    assert df.agg(A.collapse_or_mixed(F.col("v"))).collect()[0][0] == label
+    staged = A.staged_collapse("s", F.col("v"))
+    assert df.withColumns(staged.rows).agg(staged.finish()).collect()[0][0] == label
+
+
+@pytest.mark.parametrize(
+    "values, strict, valid", [([1, 3], 3, 3), ([1, None], None, 1), ([None, None], None, None)]
+)
+def test_strict_and_valid_maximum(make, values, strict, valid):
+    df = make("v int", *[(v,) for v in values])
+    staged = A.staged_max_strict("s", F.col("v"))
+    got = df.withColumns(staged.rows).agg(A.max_strict(F.col("v")), A.max_valid(F.col("v")), staged.finish())
+    assert tuple(got.collect()[0]) == (strict, valid, strict)
+
+
+def test_first_valid_is_per_column_and_in_row_order(make):
+    df = make("g string, o int, a string, b int", ("x", 3, "late", 3), ("x", 1, None, None), ("x", 2, "early", None), ("y", 1, None, None))
+    got = df.groupBy("g").agg(A.first_valid(F.col("a"), F.col("o")), A.first_valid(F.col("b"), F.col("o")))
+    assert rows(got) == [("x", "early", 3), ("y", None, None)]
+    staged = A.staged_first_valid("s", F.col("a"), F.col("o"))
+    parts = df.withColumns(staged.rows).groupBy("g", "o").agg(*staged.combine())
+    assert rows(parts.groupBy("g").agg(staged.finish())) == [("x", "early"), ("y", None)]
+
+
+def test_count_distinct_counts_missing(make):
+    df = make("v string", ("a",), ("a",), (None,), (None,), ("b",))
+    assert df.agg(A.count_distinct_with_null(F.col("v"))).collect()[0][0] == 3
+
+
+def test_ordered_lists_over_many_chunks(spark):
+    """A hot key over many chunks, in shuffled input order, against a list built by hand."""
+    rng = random.Random(3)
+    places = rng.sample(range(40 * CHUNK_ROWS), 3000)
+    data = [("hot" if i % 3 else f"k{i % 7}", p, None if p % 5 == 0 else f"v{p % 11}") for i, p in enumerate(places)]
+    df = spark.createDataFrame(data, "k string, o long, v string").repartition(16)
+    got = dict(rows(lists.ordered_lists(df, ["k"], {"l": F.col("v")}, ["o"])))
+    want = {}
+    for k, _, v in sorted(data, key=lambda r: r[1]):
+        want.setdefault(k, []).append("NA" if v is None else v)
+    assert got == {k: ";".join(v) for k, v in want.items()}
+    chunks = lists.list_chunks(df, ["k"], {"l": F.col("v")}, ["o"]).filter("k = 'hot'")
+    assert chunks.count() == len({p // CHUNK_ROWS for k, p, _ in data if k == "hot"})
+
+
+def test_ordered_distinct_lists_first_occurrence(make):
+    df = make("k string, o long, v string, w int", ("a", 3, "x", 1), ("a", 1, "y", 1), ("a", 2, "x", 1), ("a", 4, "x", 2), ("a", 5, None, 2))
+    assert rows(lists.ordered_distinct_lists(df, ["k"], "l", ["v"], ["o"])) == [("a", "y;x;NA")]
+    pairs = lists.ordered_distinct_lists(df, ["k"], "l", ["v", "w"], ["o"], F.col("w").cast("string"))
+    assert rows(pairs) == [("a", "1;1;2;2")]
+
+
+def test_distinct_rows_keep_their_first_place(make):
+    df = make("a string, f string, o long", ("x", "p", 5), ("x", "p", 2), ("y", "q", 9), (None, "q", 1), (None, "q", 0))
+    assert rows(shape.distinct_with_order(df, ["o"])) == [("x", "p", 2), ("y", "q", 9), (None, "q", 0)]
+    assert rows(shape.distinct_with_order(df, ["f", "o"])) == [("x", "p", 2), ("y", "q", 9), (None, "q", 0)]
+
+
+def test_distinct_weighted_mean_counts_each_triple_once(make):
+    df = make(
+        "g string, u string, x double, w double",
+        ("a", "l1", 1.0, 1.0), ("a", "l1", 1.0, 1.0), ("a", "l2", 3.0, 1.0), ("a", "l2", 1.0, 1.0), ("b", "l1", None, 1.0),
+    )
+    got = joins.distinct_weighted_mean(df, ["g"], "u", {"m": ("x", "w"), "n": ("w", "w")})
+    assert rows(got) == [("a", 5 / 3, 1.0), ("b", None, 1.0)]
+
+
+def test_weighted_mean_treats_nan_as_missing(make):
+    df = make("g string, u string, x double, w double", ("a", "l1", float("nan"), 1.0), ("a", "l2", 2.0, 1.0))
+    assert rows(joins.distinct_weighted_mean(df, ["g"], "u", {"m": ("x", "w")})) == [("a", 2.0)]

@@ -1,0 +1,190 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from tests.helpers import one_value, rows
+
+from gapwright.functions import scalars as S
+from gapwright.functions.aggregates import collapse_list, repeat_label
+from gapwright.operators.calibrate import curve_for_latitude
+from gapwright.plans import presets as P
+
+
+@pytest.fixture(scope="module")
+def unit(spark):
+    return spark.range(1)
+
+
+def value(unit, column):
+    return one_value(unit, column)
+
+
+@pytest.mark.parametrize(
+    "raw, label", [("SG", "Shotgun"), ("TF", "1240K"), ("XX", "OtherCapture"), (None, "OtherCapture")]
+)
+def test_recode_sends_missing_to_the_default(unit, raw, label):
+    assert value(unit, S.recode(F.lit(raw), P.CAPTURE_TYPES, P.CAPTURE_OTHER)) == label
+
+
+@pytest.mark.parametrize(
+    "text, code", [("ABC001.A0101.SG1", "SG"), ("abc", "ab"), ("ab", "a"), ("a", ""), ("", ""), (None, None)]
+)
+def test_code_before_last(unit, text, code):
+    assert value(unit, S.code_before_last(F.lit(text).cast("string"))) == code
+
+
+@pytest.mark.parametrize(
+    "id_, r1, bam, label",
+    [
+        ("ABC001.A0101.SG1", "x", "y", "Shotgun"),
+        # An id without the usual ending answers the first arm all the same.
+        ("XY", "/d/ABC001.A0101.TF1.1_R1.fq", None, "OtherCapture"),
+        ("X", "/d/ABC001.A0101.TF1.1_R1.fq", "/d/ABC001.A0101.SG1.bam", "1240K"),
+        ("X", None, "/d/ABC001.A0101.SG1.bam", "Shotgun"),
+        ("X", "short", "/d/ABC001.A0101.SG1.bam", "OtherCapture"),
+        ("X", None, None, None),
+        (None, None, None, None),
+    ],
+)
+def test_code_cascade(make, id_, r1, bam, label):
+    df = make("id string, r1 string, bam string", (id_, r1, bam))
+    arms = [F.nullif(S.code_before_last(F.col("id")), F.lit("")), S.code_from_file(F.col("r1")), S.code_from_file(F.col("bam"))]
+    assert one_value(df, S.code_from_id(arms, P.CAPTURE_TYPES, P.CAPTURE_OTHER)) == label
+
+
+@pytest.mark.parametrize(
+    "x, y, sex",
+    [
+        (0.7, 0.0, "F"), (1.2, 0.1, "F"), (0.2, 0.3, "M"), (0.6, 0.6, "M"),
+        (0.69, 0.05, "U"), (1.21, 0.0, "U"), (0.65, 0.2, "U"), (None, 0.1, "U"), (0.8, None, "U"), (None, None, "U"),
+    ],
+)
+def test_box_classifier_bounds_are_inclusive(unit, x, y, sex):
+    point = [F.lit(v).cast("double") for v in (x, y)]
+    assert value(unit, S.classify_boxes(*point, P.sex_boxes(), P.SEX_UNKNOWN)) == sex
+
+
+def test_box_classifier_first_match_wins(unit):
+    boxes = [("a", (0, 1, 0, 1)), ("b", (0, 1, 0, 1))]
+    assert value(unit, S.classify_boxes(F.lit(0.5), F.lit(0.5), boxes, "none")) == "a"
+
+
+@pytest.mark.parametrize("latitude, curve", [(-50, "shcal20"), (50, "intcal20"), (0, "intcal20")])
+def test_curve_by_hemisphere(unit, latitude, curve):
+    assert value(unit, curve_for_latitude(F.lit(latitude), P.CURVE_NORTH, P.CURVE_SOUTH)) == curve
+
+
+@pytest.mark.parametrize("latitude", ["banana", None, float("nan")])
+def test_curve_choice_needs_a_number(unit, latitude):
+    with pytest.raises(PySparkException, match="latitude must be a number"):
+        value(unit, curve_for_latitude(F.lit(latitude), P.CURVE_NORTH, P.CURVE_SOUTH))
+    assert value(unit, curve_for_latitude(F.lit(latitude), P.CURVE_NORTH, P.CURVE_SOUTH, strict=False)) is None
+
+
+@pytest.mark.parametrize(
+    "text, head, rest",
+    [("a.b.c", "a", "b.c"), ("a_b.c", "a_b", "c"), ("abc", "abc", None), ("a.", "a", ""), (None, None, None)],
+)
+def test_split_key(unit, text, head, rest):
+    parts = S.split_key(F.lit(text).cast("string"))
+    assert [value(unit, p) for p in parts] == [head, rest]
+
+
+def test_strip_suffix(unit):
+    assert value(unit, S.strip_suffix(F.lit("ABC001_ss"), "_ss")) == "ABC001"
+    assert value(unit, S.strip_suffix(F.lit("ABC_ss001"), "_ss")) == "ABC_ss001"
+    assert value(unit, S.strip_suffix(F.lit("ABC001"), "")) == "ABC001"
+    # Literal by default: a dot is a dot.
+    assert value(unit, S.strip_suffix(F.lit("ABCxss"), ".ss")) == "ABCxss"
+    assert value(unit, S.strip_suffix(F.lit("ABCxss"), ".ss", regex=True)) == "ABC"
+
+
+def test_base_name_ignores_trailing_slashes(unit):
+    assert value(unit, S.base_name(F.lit("/a/b/c.fq//"))) == "c.fq"
+
+
+def test_fixed3_rounds_the_exact_value(spark):
+    numbers = [k / 10000 for k in range(-3000, 20005, 5)] + [i / 16 for i in range(64)]
+    numbers += [random.Random(1).random() * 10**k for k in range(-6, 9) for _ in range(100)]
+    df = spark.createDataFrame([(v,) for v in numbers], "x double").select("x", S.fixed3(F.col("x")).alias("t"))
+    assert [r for r in df.collect() if r.t != "%.3f" % r.x] == []
+
+
+def test_number_texts_keep_missing(unit):
+    for number in (None, float("nan")):
+        assert value(unit, S.fixed3(F.lit(number).cast("double"))) is None
+        assert value(unit, S.sig3(F.lit(number).cast("double"))) is None
+
+
+@pytest.mark.parametrize(
+    "x, text",
+    [(0.0, "0.000"), (0.05, "0.050"), (0.12345, "0.123"), (0.00012, "1e-04"), (0.00095, "0.001"), (123456.0, "1e+05"), (99.5, "99.500")],
+)
+def test_sig3_goes_scientific_where_shorter(unit, x, text):
+    assert value(unit, S.sig3(F.lit(x))) == text
+
+
+def test_notes(unit):
+    note = S.rate_note(F.lit("0.800"), F.lit(None), F.lit("0.010"), F.lit("0.002"))
+    assert value(unit, note) == "x-rate: 0.800 +- NA, y-rate: 0.010 +- 0.002"
+    assert value(unit, S.counts_note(F.lit("10;NA"), 50)) == (
+        "Nr Snps (per library): 10;NA. Estimate and error are weighted means of values per library."
+        " Libraries with fewer than 50 were excluded."
+    )
+
+
+@pytest.mark.parametrize("by, keep, mask", [(99, None, None), (100, 0.5, 0.5), (101, 0.5, 0.5), (None, 0.5, None)])
+def test_mask_variants_differ_on_a_missing_count(unit, by, keep, mask):
+    count = F.lit(by).cast("int")
+    assert value(unit, S.mask_below(F.lit(0.5), count, 100, "keep")) == keep
+    assert value(unit, S.mask_below(F.lit(0.5), count, 100, "mask")) == mask
+    with pytest.raises(ValueError):
+        S.mask_below(F.lit(0.5), count, 100, "other")
+
+
+@pytest.mark.parametrize("trust, passed", [("LAB-1", 7), ("", None), (None, None)])
+def test_gate(unit, trust, passed):
+    assert value(unit, S.gate(F.lit(7), F.lit(trust).cast("string"))) == passed
+
+
+@pytest.mark.parametrize(
+    "text, whole, number",
+    [("12.7", 12, 12.7), (" 5 ", 5, 5.0), ("-3.9", -3, -3.9), ("abc", None, None), ("", None, None), (None, None, None), ("NaN", None, None), ("1e10", None, 1e10)],
+)
+def test_lenient_numbers(unit, text, whole, number):
+    assert value(unit, S.lenient_int(F.lit(text).cast("string"))) == whole
+    assert value(unit, S.lenient_double(F.lit(text).cast("string"))) == number
+
+
+@pytest.mark.parametrize(
+    "number, text",
+    [(600000.0, "600000"), (0.5, "0.5"), (0.0003125, "0.0003125"), (1e-5, "1e-05"), (2.5e-6, "2.5e-06"), (12345678.5, "12345678.5"), (-4.0, "-4"), (None, "n/a")],
+)
+def test_rendered_doubles(unit, number, text):
+    assert value(unit, S.render(F.lit(number).cast("double"), "double")) == text
+
+
+@pytest.mark.parametrize("text, label", [("ds;ds;ds", "ds"), ("ds;ss;ds", "mixed"), ("minus;minus;minus", "minus"), ("minus;half;plus", "mixed"), ("ds", "ds")])
+def test_collapse_list(unit, text, label):
+    assert value(unit, collapse_list(F.lit(text))) == label
+
+
+def test_repeat_label(unit):
+    assert value(unit, repeat_label("1240K", F.lit(3))) == "1240K;1240K;1240K"
+    assert value(unit, repeat_label("1240K", F.lit(1))) == "1240K"
+    assert value(unit, repeat_label(None, F.lit(3))) is None
+
+
+def test_row_local_expressions_work_on_a_stream(spark, tmp_path):
+    spark.createDataFrame([("A.B.SG1",), ("C",)], "id string").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id string").parquet(str(tmp_path / "in"))
+    coded = stream.select("id", S.recode(S.code_before_last(F.col("id")), P.CAPTURE_TYPES, P.CAPTURE_OTHER).alias("c"))
+    query = (
+        coded.writeStream.format("memory").queryName("coded").option("checkpointLocation", str(tmp_path / "cp"))
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination(60)
+    assert rows(spark.table("coded")) == [("A.B.SG1", "Shotgun"), ("C", "OtherCapture")]
