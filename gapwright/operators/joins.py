@@ -75,11 +75,18 @@ def resolve_grain(
 
 
 def merge_facets(facets: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Full outer merge of tables that hold one row per key. Keys must not be missing.
+    """Full outer merge of tables that hold one row per key and share no other column.
 
-    Facets that come out of a grouping on the same keys are joined where they lie, without a shuffle.
+    Two facets are joined, where they lie if both come out of a grouping on the keys (keys must not be
+    missing). A full join does not keep its partitioning, so three or more are put below each other and
+    grouped, which moves every facet once.
     """
-    return reduce(lambda a, b: a.join(b, list(keys), "full_outer"), facets)
+    if len(facets) < 3:
+        return reduce(lambda a, b: a.join(b, list(keys), "full_outer"), facets)
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), facets)
+    values = [n for n in stacked.columns if n not in keys]
+    # One facet knows the value, all others leave it missing.
+    return stacked.groupBy(*map(quoted, keys)).agg(*[F.any_value(quoted(n), True).alias(n) for n in values])
 
 
 def chain_join(base: DataFrame, steps: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:

@@ -71,7 +71,7 @@ v_contamination AS (
                 THEN cast(sum(est * reads) AS double) / nullif(cast(sum(reads) FILTER (est IS NOT NULL) AS double), 0) END AS mean,
            CASE WHEN count(*) FILTER (err IS NOT NULL AND reads IS NULL) = 0
                 THEN cast(sum(err * reads) AS double) / nullif(cast(sum(reads) FILTER (err IS NOT NULL) AS double), 0) END AS err_mean,
-           string_agg(coalesce(cast(snps AS varchar), 'NA'), ';' ORDER BY stat_ord NULLS LAST, snps) AS counts
+           string_agg(coalesce(cast(snps AS varchar), 'NA'), ';' ORDER BY stat_ord NULLS LAST, coalesce(cast(snps AS varchar), 'NA')) AS counts
     FROM v_masked GROUP BY sample_name),
 v_all AS (
     SELECT coalesce(sample_name, sample_key) AS sample_name, v_wanted.* EXCLUDE (filtered_mapped_reads),

@@ -24,6 +24,9 @@ def test_merge_facets(make):
     a = make("k string, x int", ("a", 1), ("b", 2))
     b = make("k string, y int", ("b", 3), ("c", 4))
     assert rows(joins.merge_facets([a, b], ["k"])) == [("a", 1, None), ("b", 2, 3), ("c", None, 4)]
+    c = make("k string, z string", ("a", "p"), (None, "q"))
+    got = rows(joins.merge_facets([a, b, c], ["k"]))
+    assert got == sorted([("a", 1, None, "p"), ("b", 2, 3, None), ("c", None, 4, None), (None, None, None, "q")], key=repr)
 
 
 def test_replace_columns_matches_missing_keys(make):
