@@ -28,7 +28,7 @@ def code_before_last(col: Column, width: int = 2) -> Column:
 
 def base_name(path: Column) -> Column:
     """Last path component, trailing slashes ignored."""
-    return F.substring_index(F.regexp_replace(path, "/+$", ""), "/", -1)
+    return F.substring_index(F.rtrim(path, F.lit("/")), "/", -1)
 
 
 def code_from_file(path: Column, start: int = 14, width: int = 2) -> Column:

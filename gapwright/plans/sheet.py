@@ -46,17 +46,18 @@ def clean_sheet(
     require_columns(sheet, [*scope, sample, unit, build, treatment, *files, *order_by])
     rows = keep_strandedness(sheet, keep_only, build)
     arms = [F.nullif(S.code_before_last(quoted(unit)), F.lit("")), *[S.code_from_file(quoted(f)) for f in files]]
-    libraries = rows.select(
+    code = F.col("_code")
+    libraries = rows.withColumn("_code", F.coalesce(*arms)).select(
         *map(quoted, scope),
         quoted(sample),
         quoted(unit),
         S.recode(quoted(build), P.LIBRARY_BUILDS, P.LIBRARY_BUILD_OTHER).alias(build),
         S.recode(quoted(treatment), P.UDG_TREATMENTS, P.UDG_OTHER).alias(treatment),
-        S.drop_last(quoted(unit), 4).alias("Library"),
-        S.code_from_id(arms, P.CAPTURE_TYPES, P.CAPTURE_OTHER).alias("Seq_Type"),
+        S.code_from_id([code], P.CAPTURE_TYPES, P.CAPTURE_OTHER).alias("Seq_Type"),
         *map(quoted, order_by),
     )
-    return distinct_with_order(libraries, order_by)
+    # The library name follows from the id, so it need not be grouped on.
+    return distinct_with_order(libraries, order_by).withColumn("Library", S.drop_last(quoted(unit), 4))
 
 
 def summary_stages(build: str = "Strandedness", treatment: str = "UDG_Treatment") -> dict[str, Staged]:

@@ -6,7 +6,11 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
-    """A `local[cores]` session without the web page; AQE on, UTC, ANSI left at its default (on)."""
+    """A `local[cores]` session without the web page; AQE on, UTC, ANSI left at its default (on).
+
+    Two settings are worth taking over on a cluster: adaptive execution may hash a small side instead of
+    sorting both, and generated methods beyond what the JVM compiles (8000 bytes) are split instead.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("gapwright")
@@ -17,6 +21,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, *
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
     )
