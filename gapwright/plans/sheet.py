@@ -57,7 +57,12 @@ def clean_sheet(
         *map(quoted, order_by),
     )
     # The library name follows from the id, so it need not be grouped on.
-    return distinct_with_order(libraries, order_by).withColumn("Library", S.drop_last(quoted(unit), 4))
+    return distinct_with_order(libraries, order_by).select(
+        *map(quoted, [*scope, sample, unit, build, treatment]),
+        S.drop_last(quoted(unit), 4).alias("Library"),
+        "Seq_Type",
+        *map(quoted, order_by),
+    )
 
 
 def summary_stages(build: str = "Strandedness", treatment: str = "UDG_Treatment") -> dict[str, Staged]:
