@@ -18,6 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -257,7 +258,7 @@ def decode(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
                     texts = [" ".join(names[i] for i in x or [] if i is not None and 0 <= i < len(names) and names[i]) for x in lists.to_pylist()]
                 else:
                     words = names[flat.astype(np.int64)].tolist()
-                    sizes = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
                     ends = np.cumsum(sizes).tolist()
                     texts = [" ".join(words[a:b]) for a, b in zip([0, *ends], ends)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])

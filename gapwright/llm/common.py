@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,7 +63,7 @@ def ascii_words(text: Column) -> Column:
 
 def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_CHARS) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Slices of a batch with their texts (missing: None), each of about `limit` bytes of text or one document."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = total = 0
     for i, size in enumerate(sizes):
         if i > start and total + size > limit:
