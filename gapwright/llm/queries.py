@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwright.llm import bpe
+from gapwright.llm import bpe, simhash, substring
 from gapwright.llm.common import documents
 
 
@@ -27,5 +27,17 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe": op1_bpe}
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text without the 13-word windows that a smaller document has."""
+    done = substring.remove_repeats(documents(spark, sf_dir), k=13)
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 3-word shingles, 3 bits."""
+    found = simhash.near_duplicates(documents(spark, sf_dir), shingle=3, radius=3)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op5_substring": op5_substring, "op7_simhash": op7_simhash}
 ORACLE: dict[str, str] = {}
