@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwright.llm import bpe, simhash, substring
-from gapwright.llm.common import documents
+from gapwright.llm import bpe, brown, simhash, substring
+from gapwright.llm.common import documents, held_out
 
 
 def tokenizer_path() -> str:
@@ -27,6 +27,14 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text scored by a class model learnt from those not held out."""
+    docs = documents(spark, sf_dir)
+    aside = held_out(docs["doc_id"], 7, 2)
+    found = brown.perplexity(docs, ~aside)
+    return found.select("doc_id", held_out(found["doc_id"], 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text without the 13-word windows that a smaller document has."""
     done = substring.remove_repeats(documents(spark, sf_dir), k=13)
@@ -39,5 +47,5 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op5_substring": op5_substring, "op7_simhash": op7_simhash}
+QUERIES = {"op1_bpe": op1_bpe, "op2_brown": op2_brown, "op5_substring": op5_substring, "op7_simhash": op7_simhash}
 ORACLE: dict[str, str] = {}
