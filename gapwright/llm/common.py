@@ -57,7 +57,7 @@ def held_out(id_column: Column, modulus: int, remainder: int) -> Column:
 
 def ascii_words(text: Column) -> Column:
     """Words between white space, unchanged; none for a missing or blank text."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{SPACES}|{SPACES}\\z", "")
+    trimmed = F.trim(F.coalesce(text, F.lit("")), F.lit(SPACE))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACES, -1))
 
 

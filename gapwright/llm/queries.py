@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwright.llm import bpe, brown, crf, simhash, substring
+from gapwright.llm import bpe, brown, crf, lines, simhash, substring
 from gapwright.llm.common import documents, held_out
 
 
@@ -47,6 +47,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text judged line by line."""
+    return lines.clean(documents(spark, sf_dir)).drop("cleaned")
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole text, learnt from the labelled rows that aren't held out."""
     docs = documents(spark, sf_dir)
@@ -55,5 +60,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(found["doc_id"], 3, 1).alias("held_out"), "lang_pred", "score", "n_words", "n_switches")
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_brown": op2_brown, "op5_substring": op5_substring, "op7_simhash": op7_simhash, "op10_language": op10_language}
+QUERIES = {"op1_bpe": op1_bpe, "op2_brown": op2_brown, "op5_substring": op5_substring, "op7_simhash": op7_simhash, "op8_lines": op8_lines, "op10_language": op10_language}
 ORACLE: dict[str, str] = {}
