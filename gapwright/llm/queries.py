@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwright.llm import bpe, brown, crf, lines, simhash, substring
+from gapwright.llm import bpe, brown, crf, lines, secrets, simhash, substring
 from gapwright.llm.common import documents, held_out
 
 
@@ -35,6 +35,18 @@ def op2_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(found["doc_id"], 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole text: fixed formats and what the Markov models add."""
+    found = secrets.scan(documents(spark, sf_dir))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == secrets.KINDS.index(kind))).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in secrets.PATTERNS],
+        F.sha2(secrets.written(F.col("base")), 256).alias("base_sha256"),
+        secrets.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text without the 13-word windows that a smaller document has."""
     done = substring.remove_repeats(documents(spark, sf_dir), k=13)
@@ -60,5 +72,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(found["doc_id"], 3, 1).alias("held_out"), "lang_pred", "score", "n_words", "n_switches")
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_brown": op2_brown, "op5_substring": op5_substring, "op7_simhash": op7_simhash, "op8_lines": op8_lines, "op10_language": op10_language}
+QUERIES = {"op1_bpe": op1_bpe, "op2_brown": op2_brown, "op4_secrets": op4_secrets, "op5_substring": op5_substring, "op7_simhash": op7_simhash, "op8_lines": op8_lines, "op10_language": op10_language}
 ORACLE: dict[str, str] = {}
