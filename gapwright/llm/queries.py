@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwright.llm import bpe, brown, crf, lines, secrets, simhash, substring
+from gapwright.llm import bpe, brown, crf, lines, secrets, simhash, spots, substring
 from gapwright.llm.common import documents, held_out
+from gapwright.llm.oracle import ORACLE  # noqa: F401
 
 
 def tokenizer_path() -> str:
@@ -53,6 +54,23 @@ def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole text and of its edited text, and how alike they and the next document's are."""
+    rows = spots.with_next(documents(spark, sf_dir))
+    rows = rows.withColumn("edited", spots.edited(F.col("text"), F.col("next_text"))).drop("next_text")
+    rows = rows.withColumn("edited_signatures", spots.signatures(F.col("edited")))
+    own = F.col("signatures")
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        F.array_join(own, "").alias("fingerprint"),
+        F.array_join("edited_signatures", "").alias("edited_fingerprint"),
+        spots.likeness(own, F.col("edited_signatures")).alias("near_edited"),
+        spots.likeness(own, F.col("next_signatures")).alias("near_next"),
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents: 3-word shingles, 3 bits."""
     found = simhash.near_duplicates(documents(spark, sf_dir), shingle=3, radius=3)
@@ -72,5 +90,4 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(found["doc_id"], 3, 1).alias("held_out"), "lang_pred", "score", "n_words", "n_switches")
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_brown": op2_brown, "op4_secrets": op4_secrets, "op5_substring": op5_substring, "op7_simhash": op7_simhash, "op8_lines": op8_lines, "op10_language": op10_language}
-ORACLE: dict[str, str] = {}
+QUERIES = {"op1_bpe": op1_bpe, "op2_brown": op2_brown, "op4_secrets": op4_secrets, "op5_substring": op5_substring, "op6_spots": op6_spots, "op7_simhash": op7_simhash, "op8_lines": op8_lines, "op10_language": op10_language}

@@ -236,7 +236,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
     grouped = classes.join(roots, "fingerprint")
     firsts = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
     linked = grouped.join(firsts, "root").select("fingerprint", F.col("component_id").alias("linked_id"))
-    named = classes.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("linked_id", "first_id").alias("component_id"))
+    # cut, so that the join below shuffles plain tables and can split the rows of a fingerprint with many copies
+    named = cut(classes.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("linked_id", "first_id").alias("component_id")))
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
