@@ -12,9 +12,10 @@ _ANCHORS = ", ".join(f"'{w}'" for w in sorted(set(spots.ANCHORS)))
 def _signatures(text: str) -> str:
     words = f"list_filter(string_split_regex(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '')"
     marked = f"array_to_string(list_transform({words}, lambda w: CASE WHEN w IN ({_ANCHORS}) THEN chr(2) || w ELSE w END), ' ')"
-    chains = f"list_transform(string_split({marked}, chr(2))[2:], lambda p: string_split(rtrim(p), ' ')[1:{spots.CHAIN + 1}])"
-    spot_sets = f"list_transform(list_filter({chains}, lambda c: len(c) > 1), lambda c: array_to_string(c, ' '))"
-    return f"list_sort(list_distinct(list_transform(CASE WHEN len({spot_sets}) > 0 THEN {spot_sets} ELSE {words} END, lambda s: substr(md5(s), 1, 8))))"
+    parts = f"list_transform(string_split({marked}, chr(2)), lambda p: string_split(rtrim(p), ' '))"
+    chained = f"list_transform(list_filter({parts}[2:], lambda p: len(p) > 1), lambda p: list_prepend(array_to_string(p[1:{spots.CHAIN + 1}], ' '), p[{spots.CHAIN + 2}:]))"
+    found = f"list_concat(list_filter({parts}[1], lambda w: w <> ''), flatten({chained}))"
+    return f"list_sort(list_distinct(list_transform(CASE WHEN len({found}) > 0 THEN {found} ELSE {words} END, lambda s: substr(md5(s), 1, 8))))"
 
 
 _LIKE = "CASE WHEN len({a}) + len({b}) > 0 THEN len(list_intersect({a}, {b})) / (len({a}) + len({b}) - len(list_intersect({a}, {b})))::DOUBLE ELSE 1.0 END"

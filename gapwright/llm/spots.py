@@ -1,8 +1,9 @@
 """SpotSigs: chains of content words that follow common-word anchors are a document's signatures.
 
 An anchor is a common word that a content word follows; its signature is the anchor with the content words
-after it up to the next common word, `chain` at most. The fingerprint is the set of the signatures' hashes.
-A text without any takes the hashes of its words instead, so only texts without a word have no signature.
+after it up to the next common word, `chain` at most; content words outside any chain stand for themselves.
+The fingerprint is the set of the signatures' hashes. A text of nothing but common words takes the hashes of
+its words instead, so only texts without a word have no signature.
 
 Two sets are alike by their Jaccard measure. Near-duplicates are found over distinct sets: sets are
 partitioned by length, so that only a set's own and the next partition can hold a partner; there, partners
@@ -44,11 +45,12 @@ def signatures(text: Column, chain: int = CHAIN) -> Column:
     """The sorted distinct signature hashes of a text, each 8 hexadecimal digits."""
     words = F.filter(F.split(F.lower(text), "[^\\p{L}\\p{N}]+", -1), lambda w: w != "")
     marked = F.array_join(F.transform(words, lambda w: F.when(w.isin(*sorted(set(ANCHORS))), F.concat(F.lit(_MARK), w)).otherwise(w)), " ")
-    # the part before the first anchor belongs to none
-    chains = F.transform(F.split(marked, _MARK, -1), lambda part, i: F.when(i > 0, F.substring_index(F.rtrim(part), " ", chain + 1)))
-    spots = F.filter(chains, lambda c: F.instr(c, " ") > 0)
+    tokens = F.transform(F.split(marked, _MARK, -1), lambda part: F.split(F.rtrim(part), " ", -1))
+    # the part before the first anchor has no chain; an anchor that no content word follows is no spot
+    chained = lambda part: F.concat(F.array(F.array_join(F.slice(part, 1, chain + 1), " ")), F.slice(part, chain + 2, F.size(part)))
+    spots = F.flatten(F.transform(tokens, lambda part, i: F.when(i == 0, F.filter(part, lambda w: w != "")).when(F.size(part) > 1, chained(part)).otherwise(F.array())))
     short = lambda strings: F.sort_array(F.array_distinct(F.transform(strings, lambda s: F.substring(F.md5(s), 1, 8))))
-    return F.when(F.exists(chains, lambda c: F.coalesce(F.instr(c, " ") > 0, F.lit(False))), short(spots)).otherwise(short(words))
+    return F.when(F.size(spots) > 0, short(spots)).otherwise(short(words))
 
 
 def likeness(a: Column, b: Column) -> Column:
