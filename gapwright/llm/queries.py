@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwright.llm import bpe, brown, crf, lines, secrets, simhash, spots, substring
+from gapwright.llm import bpe, brown, crf, lines, packing, secrets, simhash, spots, substring
 from gapwright.llm.common import documents, held_out
 from gapwright.llm.oracle import ORACLE  # noqa: F401
 
@@ -36,6 +36,11 @@ def op2_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(found["doc_id"], 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text in pieces of up to 2,048 words, in 16 optimal length buckets and batches of 65,536 tokens."""
+    return packing.pack(documents(spark, sf_dir))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every whole text: fixed formats and what the Markov models add."""
     found = secrets.scan(documents(spark, sf_dir))
@@ -90,4 +95,4 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(found["doc_id"], 3, 1).alias("held_out"), "lang_pred", "score", "n_words", "n_switches")
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_brown": op2_brown, "op4_secrets": op4_secrets, "op5_substring": op5_substring, "op6_spots": op6_spots, "op7_simhash": op7_simhash, "op8_lines": op8_lines, "op10_language": op10_language}
+QUERIES = {"op1_bpe": op1_bpe, "op2_brown": op2_brown, "op3_packing": op3_packing, "op4_secrets": op4_secrets, "op5_substring": op5_substring, "op6_spots": op6_spots, "op7_simhash": op7_simhash, "op8_lines": op8_lines, "op10_language": op10_language}
