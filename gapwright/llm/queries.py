@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwright.llm import bpe, brown, crf, lines, packing, secrets, simhash, spots, substring
+from gapwright.llm import bpe, brown, crf, lines, packing, secrets, simhash, spots, substring, surrogates
 from gapwright.llm.common import documents, held_out
 from gapwright.llm.oracle import ORACLE  # noqa: F401
 
@@ -87,6 +87,11 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.clean(documents(spark, sf_dir)).drop("cleaned")
 
 
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text with its personal data replaced by keyed surrogates."""
+    return surrogates.pseudonymise(documents(spark, sf_dir), key="documents")
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole text, learnt from the labelled rows that aren't held out."""
     docs = documents(spark, sf_dir)
@@ -95,4 +100,4 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(found["doc_id"], 3, 1).alias("held_out"), "lang_pred", "score", "n_words", "n_switches")
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_brown": op2_brown, "op3_packing": op3_packing, "op4_secrets": op4_secrets, "op5_substring": op5_substring, "op6_spots": op6_spots, "op7_simhash": op7_simhash, "op8_lines": op8_lines, "op10_language": op10_language}
+QUERIES = {"op1_bpe": op1_bpe, "op2_brown": op2_brown, "op3_packing": op3_packing, "op4_secrets": op4_secrets, "op5_substring": op5_substring, "op6_spots": op6_spots, "op7_simhash": op7_simhash, "op8_lines": op8_lines, "op9_surrogates": op9_surrogates, "op10_language": op10_language}
