@@ -40,8 +40,9 @@ def collapse_or_mixed(col: Column, mixed: str = "mixed") -> Column:
 
 
 def collapse_list(col: Column, sep: str = ";", mixed: str = "mixed") -> Column:
-    """`a;a;a` -> `a`, anything with two different parts -> `mixed`."""
-    parts = F.array_distinct(F.split(col, sep))
+    """`a;a;a` -> `a`, anything with two different parts -> `mixed`. One separator at the end is no part."""
+    literal = "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+    parts = F.array_distinct(F.split(F.regexp_replace(col, literal + "$", ""), literal))
     return F.when(F.size(parts) > 1, F.lit(mixed)).otherwise(F.get(parts, F.lit(0)))
 
 

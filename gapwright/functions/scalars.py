@@ -183,10 +183,14 @@ def mask_below(value: Column, by: Column, cutoff, missing_by: str) -> Column:
     raise ValueError(f"missing_by must be 'keep' or 'mask', not {missing_by!r}")
 
 
+#: Text that is a number: digits with at most one point and an exponent, or infinity.
+NUMBER = r"^[+-]?(\d+\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?|(?i:inf|infinity))$"
+
+
 def lenient_double(col: Column) -> Column:
-    """A number, or missing for any other text and for NaN."""
-    number = F.trim(col.cast("string")).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    """A decimal number or infinity, or missing for any other text (`12d`, `0x1A`) and for NaN."""
+    text = F.trim(col.cast("string"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def lenient_int(col: Column) -> Column:

@@ -75,18 +75,20 @@ def resolve_grain(
 
 
 def merge_facets(facets: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Full outer merge of tables that hold one row per key and share no other column.
+    """Full outer merge of tables that share no column but the keys, one after the other.
 
-    Two facets are joined, where they lie if both come out of a grouping on the keys (keys must not be
-    missing). A full join does not keep its partitioning, so three or more are put below each other and
-    grouped, which moves every facet once.
+    A missing key meets a missing key. Facets hold one row per key where they come out of a grouping;
+    rows of a key that a facet repeats each meet the other facets' rows, however many facets there are.
     """
-    if len(facets) < 3:
-        return reduce(lambda a, b: a.join(b, list(keys), "full_outer"), facets)
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), facets)
-    values = [n for n in stacked.columns if n not in keys]
-    # One facet knows the value, all others leave it missing.
-    return stacked.groupBy(*map(quoted, keys)).agg(*[F.any_value(quoted(n), True).alias(n) for n in values])
+
+    def merge(left: DataFrame, right: DataFrame) -> DataFrame:
+        renamed = right.select(*[quoted(n).alias(f"_right_{n}" if n in keys else n) for n in right.columns])
+        same = reduce(lambda a, b: a & b, [quoted(k).eqNullSafe(quoted(f"_right_{k}")) for k in keys])
+        both = left.join(renamed, same, "full_outer")
+        merged = [F.coalesce(quoted(k), quoted(f"_right_{k}")).alias(k) for k in keys]
+        return both.select(*merged, *[quoted(n) for n in [*left.columns, *right.columns] if n not in keys])
+
+    return reduce(merge, facets)
 
 
 def chain_join(base: DataFrame, steps: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:

@@ -143,3 +143,10 @@ def chunk_value(order_by: Sequence[str]) -> Column:
     """
     coarse = F.floor(quoted(order_by[-1]) / CHUNK_ROWS).alias(order_by[-1])
     return F.struct(*map(quoted, order_by[:-1]), coarse)
+
+
+def without_nan(df: DataFrame) -> DataFrame:
+    """One missing value: NaN counts as NULL in every number column."""
+    return df.select(
+        *[S.nan_to_null(quoted(n)).alias(n) if kind in ("double", "float") else quoted(n) for n, kind in df.dtypes]
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -30,3 +32,9 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, *
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the cluster names it; one of our own where none is named."""
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    return (named or tempfile.mkdtemp(prefix="gapwright-")).rstrip("/")

@@ -76,12 +76,30 @@ def scan(
     return values, order
 
 
-def write_records(df: DataFrame, path: str, read_from: Sequence[str] = (), missing: str = "n/a") -> None:
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme and from its root, spelled one way."""
+    raw = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = raw.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(raw).toUri().normalize().toString().rstrip("/")
+
+
+def write_records(
+    df: DataFrame,
+    path: str,
+    read_from: Sequence[str | Sequence[str]] = (),
+    missing: str = "n/a",
+    overwrite: bool = False,
+) -> None:
     """All columns as text, missing spelled out, tab separated with a header, one file per task.
 
-    The output must not be a path that is being read: Spark would delete its own input.
+    An output that exists is an error unless `overwrite` is set. The output must not be, hold or lie in a
+    path that is being read, however it is spelled: Spark would delete its own input.
     """
-    if path.rstrip("/") in [source.rstrip("/") for source in read_from]:
-        raise ValueError(f"output path {path!r} is an input path")
-    out = render_all(df, missing)
-    out.write.mode("overwrite").option("sep", "\t").option("header", True).option("escape", '"').csv(path)
+    spark = df.sparkSession
+    out = qualified(spark, path)
+    for source in [p for paths in read_from for p in ([paths] if isinstance(paths, str) else paths)]:
+        given = qualified(spark, source)
+        if f"{given}/".startswith(f"{out}/") or f"{out}/".startswith(f"{given}/"):
+            raise ValueError(f"output path {path!r} overlaps the input path {source!r}")
+    rendered = render_all(df, missing)
+    rendered.write.mode("overwrite" if overwrite else "errorifexists").option("sep", "\t").option("header", True).option("escape", '"').csv(path)

@@ -140,12 +140,12 @@ v_curve AS (
 def _calibrated(dates: str) -> str:
     """v_cal: calibrated years per distinct date of `dates` (curve, age, error)."""
     return f"""v_dates AS (SELECT DISTINCT curve, cast(age AS double) AS age, cast(error AS double) AS error FROM {dates} WHERE age IS NOT NULL),
-v_near AS (
+v_log AS (
     SELECT d.curve, age, error, cal_bp,
-           exp(-((age - c14) * (age - c14)) / (2 * (error * error + sigma * sigma))) / sqrt(error * error + sigma * sigma) AS density
-    FROM v_dates d JOIN v_curve c
-      ON d.curve = c.curve AND c14 BETWEEN age - 6 * sqrt(error * error + 100) - 1 AND age + 6 * sqrt(error * error + 100) + 1
-    WHERE (age - c14) * (age - c14) <= 36 * (error * error + sigma * sigma)),
+           -((age - c14) * (age - c14)) / (2 * (error * error + sigma * sigma)) - ln(error * error + sigma * sigma) / 2 AS log_density
+    FROM v_dates d JOIN v_curve c ON d.curve = c.curve),
+v_near AS (
+    SELECT curve, age, error, cal_bp, exp(log_density - max(log_density) OVER (PARTITION BY curve, age, error)) AS density FROM v_log),
 v_share AS (
     SELECT *, density / sum(density) OVER (PARTITION BY curve, age, error) AS p FROM v_near),
 v_mass AS (
@@ -329,6 +329,12 @@ SELECT l_orderkey, l_partkey, l_linenumber, printf('%.3f', x) AS fixed, CASE WHE
 FROM t""",
     "text_clean": """
 SELECT doc_id, replace(text, '"', '''') AS text, nullif(lang, 'de') AS lang, source = 'src0' OR source = '' AS no_source FROM documents""",
+    "hemisphere_lenient": f"""
+SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 OR c_custkey % 5 = 0 THEN NULL WHEN c_acctbal >= 0 THEN '{P.CURVE_NORTH}' ELSE '{P.CURVE_SOUTH}' END AS curve
+FROM customer""",
+    "strict_numbers": """
+SELECT p_partkey, CASE p_partkey % 8 WHEN 2 THEN p_size * 100::DOUBLE WHEN 3 THEN p_size::DOUBLE WHEN 7 THEN p_size / 10::DOUBLE END AS number FROM part""",
+    "sheet_from_text": f"{sql('v_sheet')} SELECT sample_name, library_id, strandedness, udg_treatment, r1, bam, cast(row_ord AS double) AS row_ord FROM v_sheet",
     "lenient_numbers": """
 SELECT p_partkey, CASE WHEN p_partkey % 4 <> 0 THEN p_size END AS whole,
        CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN p_size + cast(0.75 AS double) ELSE cast(p_size AS double) END AS number
@@ -391,6 +397,13 @@ SELECT sample_name, nullif(count(*) FILTER ("Seq_Type" = 'Shotgun'), 0) AS n_sho
        max(row_ord) FILTER (udg_treatment = 'plus') AS last_plus, min(row_ord) FILTER (strandedness = 'ss') AS first_single
 FROM v_libs GROUP BY sample_name
 HAVING n_shotgun IS NOT NULL OR last_plus IS NOT NULL OR first_single IS NOT NULL""",
+    "facet_merge_duplicates": """
+WITH a AS (SELECT nullif(s_suppkey % 40, 3) AS k, s_name AS a FROM supplier),
+b AS (SELECT nullif(c_custkey % 40, 3) AS k, c_name AS b FROM customer WHERE c_custkey % 25 = 0),
+c AS (SELECT CASE WHEN n_nationkey % 5 <> 0 THEN n_regionkey END AS k, n_name AS c FROM nation),
+two AS (SELECT coalesce(a.k, b.k) AS k, a, b FROM a FULL JOIN b ON a.k IS NOT DISTINCT FROM b.k)
+SELECT k, a, b, NULL::VARCHAR AS c, 2 AS n FROM two
+UNION ALL SELECT coalesce(two.k, c.k), a, b, c, 3 FROM two FULL JOIN c ON two.k IS NOT DISTINCT FROM c.k""",
     "chain_context": f"{sql('v_records')}, {_IDS.format('record_id')}, {_CHAIN}, {_CONTEXT} SELECT * FROM v_found",
     "facets_endogenous": _facts('SELECT sample_name, "Endogenous" FROM v_facts'),
     "facets_contamination": _facts(
@@ -400,6 +413,9 @@ HAVING n_shotgun IS NOT NULL OR last_plus IS NOT NULL OR first_single IS NOT NUL
     "facets_sex": _facts('SELECT sample_name, "Genetic_Sex", "Sex_Determination_Note", "Damage", "Nr_SNPs" FROM v_facts'),
     "run_import": _facts(f"SELECT {_NO_MEANS} FROM v_facts"),
     "run_import_single": _facts(f"SELECT {_NO_MEANS} FROM v_facts", where="WHERE strandedness = 'single'"),
+    "run_import_unplaced": _facts(
+        'SELECT sample_name, "Nr_Libraries", "Library_Built", "Endogenous", "Damage", "Nr_SNPs", "Contamination", "Contamination_Err" FROM v_facts'
+    ),
     "schema_upgrade": f"""
 SELECT 'I' || cast(p_partkey AS varchar) AS "{P.RECORD_ID}", CASE WHEN p_partkey % 5 <> 0 THEN p_size END AS "Nr_Libraries",
        p_brand AS "Capture_Type", CASE WHEN p_partkey % 7 <> 0 THEN cast(p_partkey AS integer) END AS "Nr_SNPs",
@@ -451,6 +467,17 @@ FROM {_FILL_JOIN}""",
     "compile_units": f"{sql('v_sheet', 'v_tools')}, {_compiled()} SELECT * EXCLUDE (est, se) FROM v_units",
     "compile_units_partial": f"{sql('v_sheet', 'v_tools')}, {_compiled(True)} SELECT * EXCLUDE (est, se) FROM v_units",
     "rollup_units": f"{sql('v_sheet', 'v_tools')}, {_compiled()}, {_ROLLUP}",
+    "rollup_unplaced": f"""{sql('v_sheet', 'v_tools')}, {_compiled()}, {_ROLLUP.replace("SELECT u.sample_name", ", v_done AS (SELECT u.sample_name", 1)})
+SELECT sample_name, library_id, "Contamination", "Contamination_Err", "Contamination_Meas", "Damage", "Endogenous" FROM v_done""",
+    "compile_units_pre": f"{sql('v_sheet', 'v_tools')}, {_compiled()} SELECT sample_name, library_id, row_ord, \"Endogenous\" / 2 AS \"Endogenous\" FROM v_units",
+    "calibrate_outside": f"""
+WITH v_asked AS (
+    SELECT c_custkey, cast(c_custkey % 40 * 97 - 500 AS integer) AS age,
+           cast(CASE WHEN c_custkey % 50 = 7 THEN 1000000000 ELSE c_custkey % 9 * 4 + 2 END AS integer) AS error,
+           CASE WHEN c_custkey % 2 = 0 THEN '{P.CURVE_NORTH}' ELSE '{P.CURVE_SOUTH}' END AS curve FROM customer),
+{_CURVE}, {_calibrated('v_asked')}
+SELECT v_asked.*, "Date_BC_AD_Median", "Date_BC_AD_Start_1Sigma", "Date_BC_AD_Stop_1Sigma", "Date_BC_AD_Start_2Sigma", "Date_BC_AD_Stop_2Sigma"
+FROM v_asked LEFT JOIN v_cal USING (curve, age, error)""",
     "calibrate_batch": f"""
 WITH v_asked AS (
     SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN cast(o_custkey % 1500 + 200 AS integer) END AS age,

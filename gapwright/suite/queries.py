@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +14,8 @@ from gapwright.operators import fill, joins, lists, shape
 from gapwright.operators.calibrate import calibrate_dates, curve_for_latitude
 from gapwright.plans import compiled, completion, context, run_facts, sheet
 from gapwright.plans import presets as P
+from gapwright.session import shared_folder
+from gapwright.sources import delimited
 from gapwright.suite.views import tables, view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,9 +41,15 @@ def clean(spark: SparkSession, sf_dir: str, keep_only: str = "none") -> DataFram
     return sheet.clean_sheet(view(spark, sf_dir, "v_sheet"), ORDER, keep_only, files=("r1", "bam"), **SHEET)
 
 
-def facts(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+def unplace(sheet_rows: DataFrame) -> DataFrame:
+    """Some rows lose their place."""
+    return sheet_rows.withColumn("row_ord", F.when(F.xxhash64("library_id") % 3 != 0, F.col("row_ord")))
+
+
+def facts(spark: SparkSession, sf_dir: str, unplaced: bool = False, **options) -> DataFrame:
+    rows = view(spark, sf_dir, "v_sheet")
     return run_facts.import_run(
-        view(spark, sf_dir, "v_sheet"),
+        unplace(rows) if unplaced else rows,
         view(spark, sf_dir, "v_stats"),
         ORDER,
         STATS_ORDER,
@@ -142,8 +151,10 @@ def tool_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def units(spark: SparkSession, sf_dir: str, without: tuple[str, ...] = (), **options) -> DataFrame:
+def units(spark: SparkSession, sf_dir: str, without: tuple[str, ...] = (), pre: bool = False, **options) -> DataFrame:
     tools = {n: df for n, df in tool_tables(spark, sf_dir).items() if n not in without}
+    if pre:
+        tools["endogenous"] = tools["endogenous"].drop("endorspy_endogenous_dna_post")
     rows = view(spark, sf_dir, "v_sheet").select(
         "sample_name", "library_id", "strandedness", "udg_treatment", F.coalesce("bam", "r1").alias("bam"), "row_ord"
     )
@@ -224,6 +235,16 @@ def hemisphere(spark, sf_dir):
     return one(spark, sf_dir, "customer").select("c_custkey", curve.alias("curve"))
 
 
+@query
+def hemisphere_lenient(spark, sf_dir):
+    """Latitudes that are missing or no number have no curve."""
+    raw = F.when(F.col("c_custkey") % 7 == 0, F.concat(F.col("c_acctbal").cast("string"), F.lit("d"))).when(
+        F.col("c_custkey") % 5 != 0, F.col("c_acctbal").cast("string")
+    )
+    curve = curve_for_latitude(raw, P.CURVE_NORTH, P.CURVE_SOUTH, strict=False)
+    return one(spark, sf_dir, "customer").select("c_custkey", curve.alias("curve"))
+
+
 @query
 def key_parts(spark, sf_dir):
     unit = F.col("library_id")
@@ -294,6 +315,26 @@ def lenient_numbers(spark, sf_dir):
     )
 
 
+@query
+def strict_numbers(spark, sf_dir):
+    """Text that only looks like a number, and spellings that are one."""
+    size = F.col("p_size").cast("string")
+    ends = ["d", "f", "e2", ".", "x", "L", " 1", "E-1"]
+    raw = F.concat(size, F.get(F.array(*map(F.lit, ends)), (F.col("p_partkey") % len(ends)).cast("int")))
+    return one(spark, sf_dir, "part").select("p_partkey", S.lenient_double(raw).alias("number"))
+
+
+@query
+def sheet_from_text(spark, sf_dir):
+    """The sheet written as a tab-separated file and scanned again, by position and with two missing spellings."""
+    rows = view(spark, sf_dir, "v_sheet").select("sample_name", "library_id", "strandedness", "udg_treatment", "r1", "bam", "row_ord")
+    text = rows.withColumns({"udg_treatment": F.coalesce("udg_treatment", F.when(F.col("row_ord") % 2 == 0, "N/A"))})
+    path = f"{shared_folder(spark)}/sheet-{uuid.uuid4().hex}"
+    delimited.write_records(text, path, [sf_dir], missing="n/a")
+    table, _ = delimited.scan(spark, path, ["n/a", "N/A"], codes="ccccccd")
+    return table.select(*rows.columns)
+
+
 # ---------------------------------------------------------------- aggregates
 
 
@@ -430,6 +471,19 @@ def facet_merge(spark, sf_dir):
     return joins.merge_facets([shotgun, plus, singles], ["sample_name"])
 
 
+@query
+def facet_merge_duplicates(spark, sf_dir):
+    """Facets that repeat keys and lack some; two and three of them mean the same."""
+    t = tables(spark, sf_dir, "supplier", "customer", "nation")
+    region = F.when(F.col("n_nationkey") % 5 != 0, F.col("n_regionkey"))
+    key = F.nullif(F.col("k") % 40, F.lit(3))
+    a = t["supplier"].select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("a")).withColumn("k", key).filter("a is not null")
+    b = t["customer"].filter("c_custkey % 25 = 0").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("b")).withColumn("k", key)
+    c = t["nation"].select(region.cast(a.schema["k"].dataType).alias("k"), F.col("n_name").alias("c"))
+    two = joins.merge_facets([a, b], ["k"]).withColumn("c", F.lit(None).cast("string"))
+    return two.withColumn("n", F.lit(2)).unionByName(joins.merge_facets([a, b, c], ["k"]).withColumn("n", F.lit(3)))
+
+
 @query
 def chain_context(spark, sf_dir):
     """Requested ids through the chain to record columns, without calibration."""
@@ -474,6 +528,14 @@ def run_import_single(spark, sf_dir):
     return facts(spark, sf_dir, keep_only="single")
 
 
+@query
+def run_import_unplaced(spark, sf_dir):
+    """Rows without a place in the sheet count like others."""
+    return facts(spark, sf_dir, unplaced=True).select(
+        "sample_name", "Nr_Libraries", "Library_Built", "Endogenous", "Damage", "Nr_SNPs", "Contamination", "Contamination_Err"
+    )
+
+
 # ---------------------------------------------------------------- completion
 
 
@@ -608,6 +670,22 @@ def rollup_units(spark, sf_dir):
     )
 
 
+@query
+def rollup_unplaced(spark, sf_dir):
+    """Rows without a place, and NaN among the values."""
+    rows = unplace(units(spark, sf_dir))
+    nan = F.lit(float("nan"))
+    rows = rows.withColumn("Endogenous", F.coalesce("Endogenous", nan)).withColumn("Damage", F.coalesce("Damage", nan))
+    done = compiled.rollup_units(rows, ORDER, 100, "sample_name", "library_id")
+    return done.select("sample_name", "library_id", "Contamination", "Contamination_Err", "Contamination_Meas", "Damage", "Endogenous")
+
+
+@query
+def compile_units_pre(spark, sf_dir):
+    """An endogenous table that has the value before capture only."""
+    return units(spark, sf_dir, pre=True).select("sample_name", "library_id", "row_ord", "Endogenous")
+
+
 # ---------------------------------------------------------------- calibration
 
 
@@ -634,6 +712,19 @@ def calibrate_batch(spark, sf_dir):
     return calibrate_dates(dates, curve_table(spark, sf_dir), "age", "error", "curve")
 
 
+@query
+def calibrate_outside(spark, sf_dir):
+    """Dates before, on and far beyond the curve, with errors from small to absurd."""
+    key = F.col("c_custkey")
+    dates = one(spark, sf_dir, "customer").select(
+        "c_custkey",
+        (key % 40 * 97 - 500).cast("int").alias("age"),
+        F.when(key % 50 == 7, 1_000_000_000).otherwise(key % 9 * 4 + 2).cast("int").alias("error"),
+        F.when(key % 2 == 0, P.CURVE_NORTH).otherwise(P.CURVE_SOUTH).alias("curve"),
+    )
+    return calibrate_dates(dates, curve_table(spark, sf_dir), "age", "error", "curve")
+
+
 @query
 def context_calibrated(spark, sf_dir):
     """Context with trusted uncalibrated dates: lab years first, calibrated ones where they lack."""
