@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -50,6 +51,38 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut_table(df: DataFrame) -> DataFrame:
+    """The same rows as a Parquet table in the shared checkpoint folder, for tables that later steps read by column.
+
+    The shuffles that made it have done their work and their files are given back at once.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_table(table: DataFrame) -> None:
+    """Delete a table of `cut_table` that nothing will read again."""
+    spark = table.sparkSession
+    root = checkpoint_dir(spark)
+    for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if path.getName().startswith("table-") and path.getParent().getName() == root.rstrip("/").rpartition("/")[2]:
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def held_out(id_column: Column, modulus: int, remainder: int) -> Column:
     """crc32 of the id as text, modulo; a missing id counts as the empty text."""
     return F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")) % modulus == remainder

@@ -2,15 +2,18 @@
 
 Edges are the windows of k consecutive words. Windows that follow each other and share their minimizer (the
 smallest hash of the m-word pieces inside) form a segment, so an edge occurs only in segments of its own
-minimizer. A minimizer whose segments, over the whole corpus, are all one word sequence is a nonbranching
-path: it is compacted into one row, and its source is its first place. Where segments differ the path
-branches, and just these are taken apart into edges again, each with its own first place. Pieces that go on
-in step with their source are then joined into long spans. Last, the words of every span are compared, by
-128-bit digests of the words at both coordinates, before anything is removed.
-
-The corpus is shuffled as segments (about one row for five words) and once as text; counts are combined
-before shuffles, and a passage that many documents share is a key whose rows the joins may split. Nothing is
-collected, and no group is held by one task but the spans of one document.
+minimizer. Segments of one minimizer with the same words are one variant. A minimizer with a single variant
+is a nonbranching path, compacted into one row whose source is its first place. Where a minimizer has several
+variants the path branches: each variant, once, is taken apart into edges, and each edge gets its first place
+over all variants. Edges that go on in step with their source are joined into runs, runs are joined to all
+occurrences of the variant, and those into long spans. Last, the words of every span are compared, by 128-bit
+digests of the words at both coordinates, before anything is removed.
+
+The corpus is shuffled as segments (about one row for five words) and as text, never as windows. Counts are
+combined before shuffles, a passage that many documents share is one variant and is taken apart once, and its
+occurrences are a key whose rows the joins may split. Nothing is collected, and no group is held by one task
+but the spans of one document and the edges of one segment. Each step is cut from its lineage as a table of
+its own, deleted when the next ones have read it.
 
 Missing texts have no words. A document without an id is never a source and loses nothing. Rows that share
 an id don't count as smaller than each other; a repeated row gets the same result as the first.
@@ -18,15 +21,17 @@ an id don't count as smaller than each other; a repeated row gets the same resul
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapwright.llm.common import chunks
+from gapwright.llm.common import chunks, cut_table, drop_table
 
 #: Words in a piece that a minimizer is taken from.
 PIECE = 4
@@ -34,9 +39,10 @@ PIECE = 4
 #: Words whose hashes a task keeps; a full table is begun anew.
 TABLE_WORDS = 500_000
 
-#: A place in a document: its text's tag above these bits, the number of the word below.
-TAG_BITS, PLACE_BITS = 23, 40
-PLACE_MASK = (1 << PLACE_BITS) - 1
+#: A place in a document: its text's tag, the number of a word, and the number of windows that begin there on.
+TAG_BITS, START_BITS, SIZE_BITS = 23, 30, 10
+PLACE_BITS = START_BITS + SIZE_BITS
+LONGEST = (1 << SIZE_BITS) - 1
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -87,7 +93,7 @@ class Windows:
         self.counts = np.fromiter(map(len, split), np.int64, len(split))
         total = int(self.counts.sum())
         get = hashes.__getitem__
-        self.words = np.fromiter((h for words in split for h in map(get, words)), np.uint64, total)
+        self.words = np.fromiter(map(get, chain.from_iterable(split)), np.uint64, total)
         self.first = np.cumsum(self.counts) - self.counts
         self.edges = rolled(self.words, k)
         n = len(self.edges)
@@ -104,6 +110,9 @@ class Windows:
             return nothing, nothing, nothing, nothing, nothing
         owner, low, edges = self.owner[at], low[at], self.edges[at]
         begins = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (owner[1:] != owner[:-1])]))
+        # a very long run is split at fixed distances from its begin
+        offset = np.arange(len(at)) - np.repeat(begins, np.diff(np.concatenate([begins, [len(at)]])))
+        begins = np.flatnonzero(offset % LONGEST == 0)
         sizes = np.diff(np.concatenate([begins, [len(at)]]))
         powers = np.cumprod(np.full(int(sizes.max()), _ODD), dtype=np.uint64)
         offset = np.arange(len(at)) - np.repeat(begins, sizes)
@@ -112,8 +121,8 @@ class Windows:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, carry: bool) -> DataFrame:
-    """(doc_id, tag, body[, row]): the text as bytes, a tag that tells texts of one id apart, the row as it came."""
-    rest = [F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row")] if carry else []
+    """(doc_id, tag, body[, row]): the text as bytes, a tag that tells texts of one id apart, the row but for its text."""
+    rest = [F.struct(F.lit(True).alias("r"), *[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col]).alias("row")] if carry else []
     body = docs[text_col].cast("string").cast("binary")
     tag = F.shiftrightunsigned(F.xxhash64(body), 64 - TAG_BITS)
     return docs.select(docs[id_col].alias("doc_id"), tag.alias("tag"), body.alias("body"), *rest)
@@ -128,96 +137,152 @@ def _with_spans(named: DataFrame, lists: DataFrame, how: str = "inner") -> DataF
     return named.join(lists.hint("shuffle_hash"), ["doc_id", "tag"], how)
 
 
-def repeated_spans(named: DataFrame, k: int) -> DataFrame:
-    """(doc_id, tag, start, n_words, source_id, source_place): unverified spans that begin in a smaller document."""
-    id_field = T.StructField("doc_id", named.schema["doc_id"].dataType, True)
-    longs = lambda *names: [T.StructField(n, T.LongType(), False) for n in names]
+def _list(sizes: np.ndarray, **columns) -> pa.Array:
+    """Runs of rows as lists of structs."""
+    fields = [x if isinstance(x, pa.Array) else pa.array(x) for x in columns.values()]
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.StructArray.from_arrays(fields, names=[*columns]))
+
+
+def _tag(place: str) -> Column:
+    return F.shiftright(place, PLACE_BITS)
+
+
+def _start(place: str) -> Column:
+    return F.shiftright(place, SIZE_BITS).bitwiseAND((1 << START_BITS) - 1)
+
+
+def _size(place: str) -> Column:
+    return F.col(place).bitwiseAND(LONGEST)
+
+
+
+def segments(named: DataFrame, k: int) -> DataFrame:
+    """(doc_id, place, low, content): the segments of all texts."""
+    names = ["doc_id", "place", "low", "content"]
     piece = min(PIECE, k)
 
-    def segment(batches):
+    def run(batches):
         hashes = Hashes()
-        names = ["doc_id", "place", "n", "low", "content"]
         for batch in batches:
             for part, texts in chunks(batch, "body"):
                 owner, start, n, low, content = Windows(texts, k, hashes).segments(k, piece)
-                place = (part.column("tag").to_numpy()[owner] << PLACE_BITS) | start
-                yield _batch(names, part.column("doc_id").take(pa.array(owner)), place, n, low, content)
-
-    segments = named.select("doc_id", "tag", "body").mapInArrow(segment, T.StructType([id_field, *longs("place", "n", "low", "content")]))
-    paths = (
-        segments.groupBy("low")
-        .agg(F.min(F.struct("doc_id", "place")).alias("source"), F.max("doc_id").alias("last"), F.min("content").alias("c0"), F.max("content").alias("c1"))
-        .where("source.doc_id < last")
-        .select("low", F.col("source.doc_id").alias("source_id"), F.col("source.place").alias("source_place"), (F.col("c0") == F.col("c1")).alias("single"))
-    )
-    tag, start = F.shiftright("place", PLACE_BITS).alias("tag"), F.col("place").bitwiseAND(PLACE_MASK).alias("start")
-    met = segments.drop("content").join(paths, "low").where("not single or source_id < doc_id")
-    met = met.select("doc_id", tag, start, "n", "single", "source_id", "source_place")
+                place = (part.column("tag").to_numpy()[owner] << PLACE_BITS) | (start << SIZE_BITS) | n
+                yield _batch(names, part.column("doc_id").take(pa.array(owner)), place, low, content)
+
+    return named.mapInArrow(run, T.StructType([named.schema["doc_id"], *[T.StructField(n, T.LongType()) for n in names[1:]]]))
 
-    # one grouping by document serves both kinds: compacted pieces pass, the others are taken apart
-    lists = met.where("not single").groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "n")).alias("parts"))
 
-    def edge(batches):
+def edges_of(named: DataFrame, variants: DataFrame, k: int) -> DataFrame:
+    """(doc_id, place, edge, at): the windows of the first occurrence of each variant, `at` from its begin."""
+    parts = F.struct(_start("rep.place").alias("start"), _size("rep.place").alias("n"))
+    lists = variants.groupBy(F.col("rep.doc_id").alias("doc_id"), _tag("rep.place").alias("tag")).agg(F.collect_list(parts).alias("parts"))
+    names = ["doc_id", "place", "edge", "at"]
+
+    def run(batches):
         hashes = Hashes()
-        names = ["doc_id", "place", "edge"]
         for batch in batches:
             for part, texts in chunks(batch, "body"):
-                windows = Windows(texts, k, hashes)
-                parts = part.column("parts")
-                sizes = pc.list_value_length(parts).to_numpy()
-                flat = parts.flatten()
-                doc = np.repeat(np.arange(part.num_rows), sizes)
+                lists = part.column("parts")
+                flat = lists.flatten()
+                doc = np.repeat(np.arange(part.num_rows), pc.list_value_length(lists).to_numpy())
                 first, n = flat.field("start").to_numpy(), flat.field("n").to_numpy()
+                split = [t.split() for t in texts]
+                words = np.fromiter(map(hashes.__getitem__, chain.from_iterable(split[d][a : a + m + k - 1] for d, a, m in zip(doc.tolist(), first.tolist(), n.tolist()))), np.uint64)
+                edges = rolled(words, k)
                 which = np.repeat(np.arange(len(n)), n)
-                at = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + first[which]
+                at = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
                 owner = doc[which]
-                place = (part.column("tag").to_numpy()[owner] << PLACE_BITS) | at
-                edges = windows.edges[windows.first[owner] + at].view(np.int64)
-                yield _batch(names, part.column("doc_id").take(pa.array(owner)), place, edges)
-
-    edges = _with_spans(named, lists).select("doc_id", "tag", "body", "parts").mapInArrow(edge, T.StructType([id_field, *longs("place", "edge")]))
-    firsts = (
-        edges.groupBy("edge")
-        .agg(F.min(F.struct("doc_id", "place")).alias("source"), F.max("doc_id").alias("last"))
-        .where("source.doc_id < last")
-        .select("edge", F.col("source.doc_id").alias("source_id"), F.col("source.place").alias("source_place"))
+                place = (part.column("tag").to_numpy()[owner] << PLACE_BITS) | ((first[which] + at) << SIZE_BITS)
+                # the words of segment i begin (k - 1) * i after its windows
+                found = edges[np.arange(len(which)) + (k - 1) * which].view(np.int64)
+                yield _batch(names, part.column("doc_id").take(pa.array(owner)), place, found, at)
+
+    schema = T.StructType([named.schema["doc_id"], *[T.StructField(n, T.LongType()) for n in names[1:]]])
+    return _with_spans(named, lists).select("doc_id", "tag", "body", "parts").mapInArrow(run, schema)
+
+
+def runs_of(edges: DataFrame) -> DataFrame:
+    """(doc_id, begin, runs): for each variant, by its first occurrence, its windows with their first places.
+
+    Windows that go on in step with their places are joined.
+    """
+    # cut, so that the join shuffles plain tables and can split an edge that many variants share
+    firsts = cut_table(edges.groupBy("edge").agg(F.min(F.struct("doc_id", "place")).alias("source")))
+    traced = edges.join(firsts, "edge").select("doc_id", (F.col("place") - F.shiftleft("at", SIZE_BITS)).alias("begin"), "at", "source")
+    grouped = traced.groupBy("doc_id", "begin").agg(F.collect_list(F.struct("at", F.col("source.doc_id").alias("source_id"), F.col("source.place").alias("source_place"))).alias("runs"))
+    run_type = T.StructType([T.StructField("at", T.LongType()), T.StructField("n", T.LongType()), T.StructField("source_id", edges.schema["doc_id"].dataType), T.StructField("source_place", T.LongType())])
+    schema = T.StructType([grouped.schema["doc_id"], grouped.schema["begin"], T.StructField("runs", T.ArrayType(run_type))])
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 2000):
+                part = batch.slice(start, 2000)
+                flat = part.column("runs").flatten()
+                owner = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column("runs")).to_numpy())
+                owner, at, n, order = in_step(owner, flat.field("at").to_numpy(), np.ones(len(owner), np.int64), flat.field("source_id"), flat.field("source_place").to_numpy() >> SIZE_BITS)
+                runs = _list(np.bincount(owner, minlength=part.num_rows), at=at, n=n, source_id=flat.field("source_id").take(pa.array(order)), source_place=flat.field("source_place").take(pa.array(order)))
+                yield _batch(schema.names, part.column("doc_id"), part.column("begin"), runs)
+
+    runs = cut_table(grouped.mapInArrow(run, schema))
+    drop_table(firsts)
+    return runs
+
+
+def in_step(owner: np.ndarray, start: np.ndarray, n: np.ndarray, source: pa.Array, place: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Owner, start, size and first row of pieces that follow on each other here and in their source."""
+    of = pc.dictionary_encode(source).indices.to_numpy()
+    order = np.lexsort([start, place - start, of, owner])
+    owner, start, n, of, step = owner[order], start[order], n[order], of[order], (place - start)[order]
+    same = (owner[1:] == owner[:-1]) & (of[1:] == of[:-1]) & (step[1:] == step[:-1]) & (start[1:] <= start[:-1] + n[:-1])
+    new = np.flatnonzero(np.concatenate([[True], ~same])) if len(owner) else np.zeros(0, np.int64)
+    ends = np.maximum.reduceat(start + n, new) if len(new) else start
+    return owner[new], start[new], ends - start[new], order[new]
+
+
+def repeated_spans(named: DataFrame, k: int) -> DataFrame:
+    """(doc_id, tag, start, n_words, source_id, source_place): unverified spans that begin in a smaller document."""
+    all_segments = cut_table(segments(named, k))
+    # cut, so that the join shuffles plain tables and can split a minimizer that many documents share
+    repeated = cut_table(
+        all_segments.groupBy("low")
+        .agg(F.min("doc_id").alias("d0"), F.max("doc_id").alias("d1"), F.min("content").alias("c0"), F.max("content").alias("c1"))
+        .where("d0 < d1")
+        .select("low", (F.col("c0") == F.col("c1")).alias("single"))
     )
-    apart = edges.join(firsts, "edge").where("source_id < doc_id").select("doc_id", tag, start, F.lit(1).cast("long").alias("n"), "source_id", "source_place")
-    pieces = met.where("single").drop("single").unionByName(apart)
-    grouped = pieces.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "n", "source_id", "source_place")).alias("pieces"))
-    source_field = T.StructField("source_id", id_field.dataType, True)
-    schema = T.StructType([id_field, *longs("tag", "start", "n_words"), source_field, *longs("source_place")])
+    met = cut_table(all_segments.join(repeated, "low"))
+    drop_table(all_segments)
+    drop_table(repeated)
+    variants = cut_table(met.groupBy("low", "content", "single").agg(F.min(F.struct("doc_id", "place")).alias("rep")))
+    edges = cut_table(edges_of(named, variants.where("not single"), k))
+    traced = runs_of(edges)
+    drop_table(edges)
+    begin = (F.col("rep.place") - _size("rep.place")).alias("begin")
+    branching = variants.where("not single").select("low", "content", F.col("rep.doc_id").alias("doc_id"), begin).join(traced, ["doc_id", "begin"]).select("low", "content", "runs")
+    whole = F.struct(F.lit(0).cast("long").alias("at"), _size("rep.place").alias("n"), F.col("rep.doc_id").alias("source_id"), F.col("rep.place").alias("source_place"))
+    runs = cut_table(branching.union(variants.where("single").select("low", "content", F.array(whole).alias("runs"))))
+    drop_table(variants)
+    drop_table(traced)
+    pieces = met.join(runs, ["low", "content"]).select("doc_id", "place", F.explode("runs").alias("run")).where("run.source_id < doc_id")
+    pieces = pieces.select("doc_id", _tag("place").alias("tag"), F.struct((_start("place") + F.col("run.at")).alias("start"), "run.n", "run.source_id", "run.source_place").alias("piece"))
+    grouped = pieces.groupBy("doc_id", "tag").agg(F.collect_list("piece").alias("pieces"))
+    fields = [("tag", T.LongType()), ("start", T.LongType()), ("n_words", T.LongType()), ("source_id", named.schema["doc_id"].dataType), ("source_place", T.LongType())]
+    schema = T.StructType([named.schema["doc_id"], *[T.StructField(n, t) for n, t in fields]])
 
     def join_up(batches):
-        names = schema.names
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                lists = part.column("pieces")
-                flat = lists.flatten()
-                doc = np.repeat(np.arange(part.num_rows), pc.list_value_length(lists).to_numpy())
-                start, n = flat.field("start").to_numpy(), flat.field("n").to_numpy()
-                ids = flat.field("source_id")
-                source = pc.dictionary_encode(ids).indices.to_numpy()
-                place = flat.field("source_place").to_numpy()
-                order = np.lexsort([start, place - start, source, doc])
-                doc, start, n, source, place = (v[order] for v in (doc, start, n, source, place))
-                step = place - start
-                same = (doc[1:] == doc[:-1]) & (source[1:] == source[:-1]) & (step[1:] == step[:-1])
-                new = np.flatnonzero(np.concatenate([[True], ~(same & (start[1:] <= start[:-1] + n[:-1]))])) if len(doc) else np.zeros(0, int)
-                ends = np.maximum.reduceat(start + n, new) if len(new) else start
-                tags = part.column("tag").to_numpy()
-                yield _batch(
-                    names,
-                    part.column("doc_id").take(pa.array(doc[new])),
-                    tags[doc[new]],
-                    start[new],
-                    ends - start[new] + (k - 1),
-                    ids.take(pa.array(order[new])),
-                    place[new],
-                )
-
-    return grouped.mapInArrow(join_up, schema)
+                flat = part.column("pieces").flatten()
+                doc = np.repeat(np.arange(part.num_rows), pc.list_value_length(part.column("pieces")).to_numpy())
+                ids, place = flat.field("source_id"), flat.field("source_place")
+                doc, start, n, order = in_step(doc, flat.field("start").to_numpy(), flat.field("n").to_numpy(), ids, place.to_numpy() >> SIZE_BITS)
+                tags = part.column("tag").to_numpy()[doc]
+                yield _batch(schema.names, part.column("doc_id").take(pa.array(doc)), tags, start, n + (k - 1), ids.take(pa.array(order)), place.take(pa.array(order)))
+
+    spans = cut_table(grouped.mapInArrow(join_up, schema))
+    drop_table(met)
+    drop_table(runs)
+    return spans
 
 
 def _digest(words: list[bytes], start: int, n: int) -> bytes:
@@ -227,9 +292,9 @@ def _digest(words: list[bytes], start: int, n: int) -> bytes:
 def verified(named: DataFrame, spans: DataFrame) -> DataFrame:
     """Spans with the digest of the words at their source coordinates."""
     asked = spans.select(
-        F.col("source_id").alias("doc_id"), F.shiftright("source_place", PLACE_BITS).alias("tag"), F.col("source_place").bitwiseAND(PLACE_MASK).alias("start"), "n_words"
+        F.col("source_id").alias("doc_id"), _tag("source_place").alias("tag"), F.struct("source_place", "n_words").alias("ask")
     ).distinct()
-    lists = asked.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "n_words")).alias("asked"))
+    lists = asked.groupBy("doc_id", "tag").agg(F.collect_list("ask").alias("asked"))
     id_field = T.StructField("source_id", named.schema["doc_id"].dataType, True)
     schema = T.StructType([id_field, T.StructField("source_place", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("digest", T.BinaryType())])
 
@@ -237,9 +302,11 @@ def verified(named: DataFrame, spans: DataFrame) -> DataFrame:
         for batch in batches:
             for part, texts in chunks(batch, "body"):
                 out = []
-                for i, (text, tag, asked) in enumerate(zip(texts, part.column("tag").to_pylist(), part.column("asked").to_pylist())):
+                for i, (text, asked) in enumerate(zip(texts, part.column("asked").to_pylist())):
                     words = (text or b"").split()
-                    out += [(i, (tag << PLACE_BITS) | x["start"], x["n_words"], _digest(words, x["start"], x["n_words"])) for x in asked]
+                    for x in asked:
+                        place, n = x["source_place"], x["n_words"]
+                        out.append((i, place, n, _digest(words, (place >> SIZE_BITS) & ((1 << START_BITS) - 1), n)))
                 rows, places, sizes, digests = zip(*out)
                 yield _batch(schema.names, part.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(places, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()))
 
@@ -248,7 +315,7 @@ def verified(named: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def _apply(rows: DataFrame, carry: bool) -> DataFrame:
-    """Remove the verified words of each text."""
+    """Remove the verified words of each text; with `carry`, texts that lose none stay as they are."""
     fields = [rows.schema["doc_id"], *([rows.schema["row"]] if carry else [])]
     schema = T.StructType([*fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
 
@@ -268,7 +335,8 @@ def _apply(rows: DataFrame, carry: bool) -> DataFrame:
                         kept = [w for w, s in zip(words, stay) if s]
                     else:
                         kept = words
-                    out.append((len(words), len(words) - len(kept), b" ".join(kept)))
+                    whole = carry and len(kept) == len(words)
+                    out.append((len(words), len(words) - len(kept), text if whole else b" ".join(kept)))
                 counts, removed, kept = zip(*out)
                 rest = [part.column("row")] if carry else []
                 text = pa.array(kept, pa.binary()).cast(pa.string())
@@ -296,7 +364,4 @@ def remove_repeats(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_co
 def rewrite(docs: DataFrame, k: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input's columns; texts that lose words are their kept words joined by blanks, others stay as they are."""
     done = _deduplicated(docs, k, id_col, text_col, carry=True)
-    text = F.when(F.col("n_removed") > 0, F.col("kept"))
-    return done.select(
-        *[(F.coalesce(text, F.col(f"row.c{i}")) if c == text_col else F.col(f"row.c{i}")).alias(c) for i, c in enumerate(docs.columns)]
-    )
+    return done.select(*[(F.col("kept") if c == text_col else F.col(f"row.c{i}")).alias(c) for i, c in enumerate(docs.columns)])
