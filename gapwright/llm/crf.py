@@ -17,7 +17,8 @@ Repeated rows and missing ids are treated like others. Other columns are ignored
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -86,7 +87,6 @@ class Crf:
     weights: np.ndarray
     transitions: np.ndarray
     first: np.ndarray
-    known: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
 
     def scores(self, slots: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
         """Score of each language for each of n words."""
@@ -204,6 +204,47 @@ def train(docs: DataFrame, learn: Column, settings: Settings = Settings(), id_co
     return fit(sample(docs, learn, settings, id_col, text_col, lang_col), settings)
 
 
+class Labeller:
+    """Labels texts in one task; keeps the scores of words it has met."""
+
+    def __init__(self, model: Crf):
+        self.model = model
+        self.forget()
+
+    def forget(self) -> None:
+        self.table: dict[str, int] = {}
+        self.scores = np.zeros((0, len(self.model.languages)))
+        self.letters = np.zeros(0, bool)
+
+    def label(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Language, score, words and switches of each text."""
+        model = self.model
+        split = [words_of(t) for t in texts] if model.languages else [[] for _ in texts]
+        if len(self.table) > TABLE_WORDS:
+            self.forget()
+        if new := [*{w for words in split for w in words} - self.table.keys()]:
+            self.table.update(zip(new, range(len(self.table), len(self.table) + len(new))))
+            self.scores = np.concatenate([self.scores, model.scores(*feature_slots(new, model.settings), len(new))])
+            self.letters = np.concatenate([self.letters, np.fromiter((any(map(str.isalpha, w)) for w in new), bool, len(new))])
+        n = np.fromiter(map(len, split), np.int64, len(split))
+        line = np.fromiter(map(self.table.__getitem__, chain.from_iterable(split)), np.int64, int(n.sum()))
+        langs, means, switches = [UNKNOWN] * len(n), np.zeros(len(n)), np.zeros(len(n), np.int64)
+        some = np.flatnonzero(n)
+        if len(some):
+            begins = (np.cumsum(n) - n)[some]
+            found = model.marginals(self.scores[line], n[some])
+            mean = np.add.reduceat(found, begins, axis=0) / n[some, None]
+            likely = found.argmax(1)
+            change = np.concatenate([[0], likely[1:] != likely[:-1]]).astype(np.int64)
+            change[begins] = 0
+            switches[some] = np.add.reduceat(change, begins)
+            lettered = np.add.reduceat(self.letters[line].astype(np.int64), begins) > 0
+            for i, best, value, ok in zip(some.tolist(), mean.argmax(1).tolist(), mean.max(1).tolist(), lettered.tolist()):
+                if ok:
+                    langs[i], means[i] = model.languages[best], min(value, 1.0)
+        return langs, means, n, switches
+
+
 def predict(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score, n_words, n_switches) of each whole text; switches: changes of the likeliest language."""
     rows = id_and_text(docs, id_col, text_col)
@@ -212,36 +253,24 @@ def predict(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str =
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        model = shared.value
-        table: dict[str, int] = {}
-        scores = np.zeros((0, len(model.languages)))
-        letters = np.zeros(0, bool)
+        labeller = Labeller(shared.value)
         for batch in batches:
             for part, texts in chunks(batch, limit=LABEL_CHARS):
-                split = [words_of(t) for t in texts] if model.languages else [[] for _ in texts]
-                if len(table) > TABLE_WORDS:
-                    table, scores, letters = {}, scores[:0], letters[:0]
-                if new := [*{w for words in split for w in words} - table.keys()]:
-                    table.update(zip(new, range(len(table), len(table) + len(new))))
-                    scores = np.concatenate([scores, model.scores(*feature_slots(new, model.settings), len(new))])
-                    letters = np.concatenate([letters, np.fromiter((any(map(str.isalpha, w)) for w in new), bool, len(new))])
-                n = np.fromiter(map(len, split), np.int64, len(split))
-                line = np.fromiter((i for words in split for i in map(table.__getitem__, words)), np.int64, int(n.sum()))
-                langs, means, switches = [UNKNOWN] * len(n), np.zeros(len(n)), np.zeros(len(n), np.int64)
-                some = np.flatnonzero(n)
-                if len(some):
-                    begins = (np.cumsum(n) - n)[some]
-                    found = model.marginals(scores[line], n[some])
-                    mean = np.add.reduceat(found, begins, axis=0) / n[some, None]
-                    likely = found.argmax(1)
-                    change = np.concatenate([[0], likely[1:] != likely[:-1]]).astype(np.int64)
-                    change[begins] = 0
-                    switches[some] = np.add.reduceat(change, begins)
-                    lettered = np.add.reduceat(letters[line].astype(np.int64), begins) > 0
-                    for i, best, value, ok in zip(some.tolist(), mean.argmax(1).tolist(), mean.max(1).tolist(), lettered.tolist()):
-                        if ok:
-                            langs[i], means[i] = model.languages[best], min(value, 1.0)
-                arrays = [part.column("doc_id"), pa.array(langs, pa.string()), pa.array(means), pa.array(n), pa.array(switches)]
-                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+                langs, *numbers = labeller.label(texts)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(langs, pa.string()), *map(pa.array, numbers)], names=schema.names)
 
     return rows.mapInArrow(run, schema)
+
+
+def keep_known(docs: DataFrame, model: Crf, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows, as they came, whose text has a language with a score of at least `least`."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        labeller = Labeller(shared.value)
+        for batch in batches:
+            for part, texts in chunks(batch, text_col, LABEL_CHARS):
+                langs, scores, *_ = labeller.label(texts)
+                yield part.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in zip(langs, scores.tolist())]))
+
+    return docs.mapInArrow(run, docs.schema)
