@@ -75,20 +75,16 @@ def resolve_grain(
 
 
 def merge_facets(facets: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Full outer merge of tables that share no column but the keys, one after the other.
+    """Full outer merge of tables that share no column but the keys.
 
-    A missing key meets a missing key. Facets hold one row per key where they come out of a grouping;
-    rows of a key that a facet repeats each meet the other facets' rows, however many facets there are.
+    Written as left joins that start from all keys: each facet is moved once however many there are, and a
+    key that is hot in one of them can be split. A missing key meets a missing key. Rows of a key that a
+    facet repeats each meet the other facets' rows.
     """
-
-    def merge(left: DataFrame, right: DataFrame) -> DataFrame:
-        renamed = right.select(*[quoted(n).alias(f"_right_{n}" if n in keys else n) for n in right.columns])
-        same = reduce(lambda a, b: a & b, [quoted(k).eqNullSafe(quoted(f"_right_{k}")) for k in keys])
-        both = left.join(renamed, same, "full_outer")
-        merged = [F.coalesce(quoted(k), quoted(f"_right_{k}")).alias(k) for k in keys]
-        return both.select(*merged, *[quoted(n) for n in [*left.columns, *right.columns] if n not in keys])
-
-    return reduce(merge, facets)
+    named = [f.select(*map(quoted, keys)) for f in facets]
+    every = reduce(lambda a, b: a.union(b), named).distinct()
+    same = [(k, k) for k in keys]
+    return reduce(lambda left, facet: attach(left, facet, same, null_safe=True), facets, every)
 
 
 def chain_join(base: DataFrame, steps: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
