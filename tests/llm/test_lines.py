@@ -1,0 +1,79 @@
+"""Line cleaning against SQL on whole tables, brute force on hard rows, and labelled documents."""
+
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import duckdb
+import pytest
+
+from gapwright.llm import lines
+from gapwright.llm.oracle import ORACLE
+from gapwright.llm.queries import op8_lines
+from tests.llm.helpers import SF, frame, odd_rows, words
+
+
+def counts(text):
+    text = text or ""
+    w = words(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if words(line):
+            dup += line in seen
+            seen.add(line)
+    windows = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+    covered = {j for i in range(len(w) - 2) if windows[tuple(w[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered)
+
+
+def base(row):
+    return row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words
+
+
+def test_query_equals_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    cursor = con.execute(ORACLE["op8_lines"])
+    names = [d[0] for d in cursor.description]
+    expected = {r[names.index("doc_id")]: dict(zip(names, r)) for r in cursor.fetchall()}
+    found = {r.doc_id: r.asDict() for r in op8_lines(spark, SF).collect()}
+    assert found == expected
+
+
+def test_hard_texts_and_empty_table(spark):
+    texts = ["a b c a b c a b c", "a b a b a b a", "x\nx\n x\n\nx", "a b c\nd a b c", "# * $ % & | < >", "é ß\tz\x0bq"]
+    rows = odd_rows(400) + [(100 + i, t, None, None, None) for i, t in enumerate(texts)]
+    found = lines.clean(frame(spark, rows, clash=True)).collect()
+    assert sorted((str(r.doc_id), base(r)) for r in found) == sorted((str(r[0]), counts(r[1])) for r in rows)
+    assert lines.clean(frame(spark, [])).collect() == []
+    assert all(r.base_failed and not r.kept for r in found if r.doc_id in (0, 1, 2))
+
+
+GOOD = [" ".join(f"word{i}x{j}" for j in range(14)) + ", and so it ends." for i in range(6)]
+
+
+@pytest.mark.parametrize(
+    "line",
+    ["Home | About | Contact | Login", "### $$$ %%% &&& ***", "THIS IS SHOUTED AT EVERYONE HERE!!", "the the the the the the the the the the", "All rights reserved by the owner of this page.", "Read more", "© 2020 by us."],
+)
+def test_bad_lines_go(spark, line):
+    (row,) = lines.clean(frame(spark, [(1, "\n".join([*GOOD, line]), None, None, None)])).collect()
+    assert row.n_bad_lines == 1 and row.kept and line not in row.cleaned
+
+
+def test_documents_that_lose_too_much_are_rejected(spark):
+    bad = "\n".join([" | ".join(f"page{i}y{j}" for j in range(12)) for i in range(12)] + GOOD)
+    (row,) = lines.clean(frame(spark, [(1, bad, None, None, None)])).collect()
+    assert not row.kept and row.lost > 0.5
+
+
+def test_labelled_documents(spark):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    judged = [(labels[r.doc_id], r.kept) for r in op8_lines(spark, SF).collect() if r.doc_id in labels and r.n_words >= 50]
+    assert sum(q == 1 and not kept for q, kept in judged) == 0
+    assert sum(q == 0 and kept for q, kept in judged) <= 0.1 * max(1, sum(q == 0 for q, _ in judged))
+
+
+def test_main_path_has_no_python(spark):
+    assert not re.search("Python|Pandas|Arrow|Exchange", op8_lines(spark, SF)._jdf.queryExecution().executedPlan().toString())

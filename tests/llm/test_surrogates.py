@@ -1,0 +1,101 @@
+"""Surrogates: nothing personal is left, formats and coreference stay, nothing collides."""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import functions as F
+
+from gapwright.llm import surrogates
+from gapwright.llm.queries import op9_surrogates
+from tests.llm.helpers import SF, documents, frame, odd_rows
+
+PERSONAL = re.compile(r"[\w.]+@[\w.]+\w|\+1 \(\d+\) \d+-\d+|(?<!\w)\d{16}(?!\w)|(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.])")
+
+
+def replaced(spark, *texts, key="k"):
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    found = surrogates.pseudonymise(frame(spark, rows), key).collect()
+    return [r.text for r in sorted(found, key=lambda r: r.doc_id)]
+
+
+def test_nothing_personal_is_left_and_the_rest_stays(spark):
+    found = {r.doc_id: r for r in op9_surrogates(spark, SF).collect()}
+    texts = {r.doc_id: r.text for r in documents(spark).collect()}
+    real = {e for t in texts.values() for e in PERSONAL.findall(t)}
+    assert real and len(found) == len(texts)
+    for i, text in texts.items():
+        row = found[i]
+        assert not real & {*PERSONAL.findall(row.text)}
+        parts = PERSONAL.split(text)
+        if not row.n_entities:
+            assert row.text == text
+        elif len(parts) == row.n_entities + 1:
+            at = 0
+            for part in parts:
+                at = row.text.index(part, at) + len(part)
+
+
+def luhn(number):
+    digits = [int(c) for c in number if c.isdigit()][::-1]
+    return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10
+
+
+def test_formats_stay(spark):
+    card, phone, ip, ssn, iban, mail = replaced(
+        spark, "card 4111-1111-1111-1111.", "+44 20 7946 0958", "at 152.143.123.131.", "123-45-6789", "DE89 3704 0044 0532 0130 00", "A.B@Mail.example.com!"
+    )
+    assert re.fullmatch(r"card 4\d{3}-\d{4}-\d{4}-\d{4}\.", card) and luhn(card) == 0 and "4111-1111" not in card
+    assert re.fullmatch(r"\+44 \d\d \d{4} \d{4}", phone) and phone != "+44 20 7946 0958"
+    assert re.fullmatch(r"at 2[45]\d\.\d+\.\d+\.\d+\.", ip)
+    assert re.fullmatch(r"9\d\d-\d\d-\d{4}", ssn)
+    assert re.fullmatch(r"DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d", iban)
+    assert re.fullmatch(r"[a-z]+\.\d+@[a-z]+\.example\.(com|net|org)!", mail)
+
+
+def test_coreference_over_formats_and_documents(spark):
+    a, b, c = replaced(spark, "+1 (499) 555-6503 or x@y.org", "+1 499 555 6503 or X@y.ORG", "4785380592391140 4785 3805 9239 1140")
+    digits = lambda t: re.sub(r"\D", "", t.split(" or ")[0])
+    assert digits(a) == digits(b) and a.split(" or ")[1] == b.split(" or ")[1]
+    assert re.sub(r"\D", "", c)[:16] == re.sub(r"\D", "", c)[16:]
+
+
+def test_names_keep_gender_script_and_case(spark):
+    one, two, three = replaced(spark, "Mr. John Smith and Mrs. Jane Smith; Herr Smith.", "господин Иван Петров и госпожа Анна Петрова", "Frau Müller, Frau MÜLLER")
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) and Mrs\. (\w+) (\w+); Herr (\w+)\.", one)
+    male, female = (surrogates.GIVEN["latin", g].split() for g in "mf")
+    assert m[1] in male and m[3] in female and m[2] == m[4] == m[5] and "Smith" not in one
+    assert re.fullmatch(r"господин [А-Яа-я]+ [А-Яа-я]+ и госпожа [А-Яа-я]+ [А-Яа-я]+", two) and "Петров" not in two
+    m = re.fullmatch(r"Frau (\w+), Frau (\w+)", three)
+    assert m[1].upper() == m[2] and m[1] != m[2]
+
+
+def test_no_two_entities_share_a_surrogate(spark):
+    names = [f"Name{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    rows = [("given_f_latin", n.lower()) for n in names] + [("given_f_latin", n.lower()) for n in surrogates.GIVEN["latin", "f"].split()]
+    rows += [("ssn", f"{i:09d}") for i in range(100)]
+    entities = spark.createDataFrame(rows, "kind string, normal string").distinct()
+    found = surrogates.surrogates(entities, "k").collect()
+    assert len(found) == entities.count() == len({(r.kind, r.surrogate) for r in found})
+    assert not {(r.kind, r.surrogate) for r in found} & {(r.kind, r.normal) for r in found}
+
+
+def test_the_key_decides(spark):
+    text = "a.b@example.org"
+    assert replaced(spark, text) == replaced(spark, text) != replaced(spark, text, key="other")
+
+
+def test_odd_rows_and_empty_table(spark):
+    rows = [*odd_rows(), (50, "x@y.org", None, None, None), (50, "x@y.org", None, None, None), (None, "x@y.org", None, None, None)]
+    found = surrogates.pseudonymise(frame(spark, rows, clash=True), "k").collect()
+    assert len(found) == len(rows)
+    kept = {i: t for i, t, *_ in odd_rows() if i is not None}
+    assert all(r.text == kept[r.doc_id] for r in found if r.doc_id in kept)
+    assert len({r.text for r in found if r.n_email}) == 1 and sum(r.n_email for r in found) == 3
+    assert surrogates.pseudonymise(frame(spark, []), "k").collect() == []
+
+
+def test_main_path_has_no_python(spark):
+    plan = op9_surrogates(spark, SF)
+    assert not re.search("Python|Pandas|Arrow", plan._jdf.queryExecution().executedPlan().toString())
+    assert plan.select(F.count("*")).first()[0] == documents(spark).count()
