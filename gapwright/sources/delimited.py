@@ -80,7 +80,8 @@ def qualified(spark: SparkSession, path: str) -> str:
     """A path with its scheme and from its root, spelled one way."""
     raw = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = raw.getFileSystem(spark._jsc.hadoopConfiguration())
-    return system.makeQualified(raw).toUri().normalize().toString().rstrip("/")
+    uri = system.makeQualified(raw).toUri().normalize()
+    return f"{uri.getScheme()}://{uri.getAuthority() or ''}{uri.getPath()}".rstrip("/")
 
 
 def write_records(
