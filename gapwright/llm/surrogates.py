@@ -53,7 +53,7 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
 #: Patterns, the first that matches at a place counts. They can't begin inside a longer word or number.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*(?<=\.[A-Za-z]{2,24})",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?<=\.[A-Za-z]{2,24})",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "account": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[\x20.-]?(?:\(\d{1,4}\)[\x20.-]?)?\d{1,4}(?:[\x20.-]?\d{2,4}){1,4}|\(\d{3}\)\x20?\d{3}[\x20.-]\d{4}|\d{3}[\x20.-]\d{3}[\x20.-]\d{4})(?!\d)",

@@ -53,6 +53,13 @@ def test_formats_stay(spark):
     assert re.fullmatch(r"[a-z]+\.\d+@[a-z]+\.example\.(com|net|org)!", mail)
 
 
+def test_addresses_end_where_they_can(spark):
+    one, two, three = replaced(spark, "x@example.com5 y", "x@example.com. Next", "not@here or @there")
+    assert re.fullmatch(r"[a-z]+\.\d+@[a-z]+\.example\.(com|net|org)5 y", one)
+    assert re.fullmatch(r"[a-z]+\.\d+@[a-z]+\.example\.(com|net|org)\. Next", two)
+    assert three == "not@here or @there"
+
+
 def test_coreference_over_formats_and_documents(spark):
     a, b, c = replaced(spark, "+1 (499) 555-6503 or x@y.org", "+1 499 555 6503 or X@y.ORG", "4785380592391140 4785 3805 9239 1140")
     digits = lambda t: re.sub(r"\D", "", t.split(" or ")[0])
