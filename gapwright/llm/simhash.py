@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gapwright.llm.common import LOWER, cut, field_of, id_and_text, map_chunks
+from gapwright.llm.common import LOWER, cut_table, field_of, id_and_text, map_chunks
 from gapwright.llm.components import components
 
 #: Blocks of bits a distance is taken over, and the base that packs block distances into a key.
@@ -230,14 +230,14 @@ def close_links(prints: DataFrame, radius: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id): the smallest id that links of at most `radius` bits reach."""
-    prints = cut(fingerprints(docs, shingle, id_col, text_col))
-    classes = cut(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
+    prints = cut_table(fingerprints(docs, shingle, id_col, text_col))
+    classes = cut_table(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
     roots = components(close_links(classes, radius)).select(F.col("node").alias("fingerprint"), "root")
     grouped = classes.join(roots, "fingerprint")
     firsts = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
     linked = grouped.join(firsts, "root").select("fingerprint", F.col("component_id").alias("linked_id"))
     # cut, so that the join below shuffles plain tables and can split the rows of a fingerprint with many copies
-    named = cut(classes.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("linked_id", "first_id").alias("component_id")))
+    named = cut_table(classes.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("linked_id", "first_id").alias("component_id")))
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
