@@ -31,8 +31,8 @@ from gapwright.llm.common import chunks, field_of, id_and_text
 UNKNOWN = "und"
 
 #: Words whose scores a task keeps, and characters of text it labels at a time (or one document).
-TABLE_WORDS = 400_000
-LABEL_CHARS = 6_000_000
+TABLE_WORDS = 250_000
+LABEL_CHARS = 3_000_000
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
 _MIX = np.uint64(0x9E3779B97F4A7C15)
