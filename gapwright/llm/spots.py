@@ -35,8 +35,9 @@ ANCHORS = (
 #: Content words of a chain.
 CHAIN = 3
 
-#: Documents whose neighbours are found in one task.
+#: Documents whose neighbours are found in one task, unless that made more than the most ranges.
 ROWS_A_RANGE = 2_000
+MOST_RANGES = 50_000
 
 _MARK = "\x02"
 
@@ -75,18 +76,20 @@ def with_next(docs: DataFrame, chain: int = CHAIN, id_col: str = "doc_id", text_
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     n, low, high = rows.agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).first()
     low, high = low or 0, high or 0
-    width = max(1.0, (float(high) - float(low) + 1) / max(1, n // ROWS_A_RANGE))
+    width = max(1.0, (float(high) - float(low) + 1) / min(MOST_RANGES, max(1, n // ROWS_A_RANGE)))
     rows = rows.withColumn("range", F.coalesce(F.floor((F.col("doc_id").cast("double") - float(low)) / width).cast("long"), F.lit(-1).cast("long")))
-    # one row for each range
+    # one row for each range, so no more than MOST_RANGES and one: small enough to be handed to all tasks
     by_range = W.orderBy("range")
     firsts = rows.groupBy("range").agg(F.min("doc_id").alias("first_id"))
     firsts = firsts.select("range", "first_id", F.lag("range").over(by_range).alias("before"), F.max("range").over(by_range.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("last"))
     firsts = firsts.select("range", "first_id", F.coalesce("before", "last").alias("before"))
-    lent = rows.join(firsts, "range").where(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("doc_id", "text", F.col("before").alias("range"), F.lit(True).alias("lent"))
+    lent = rows.join(F.broadcast(firsts), "range").where(F.col("doc_id").eqNullSafe(F.col("first_id"))).select("doc_id", "text", F.col("before").alias("range"), F.lit(True).alias("lent"))
     both = rows.withColumn("lent", F.lit(False)).unionByName(lent).withColumn("text", F.coalesce("text", F.lit("")))
-    both = both.select("doc_id", "text", "range", "lent", signatures(F.col("text"), chain).alias("signatures"))
     order = W.partitionBy("range").orderBy("lent", "doc_id", "text")
-    ahead = both.select("*", F.lead("text").over(order).alias("next_text"), F.lead("signatures").over(order).alias("next_signatures"))
+    ahead = both.select("*", F.lead("text").over(order).alias("next_text"))
+    # signatures are taken where the texts now lie, in the order they now have
+    ahead = ahead.select("*", signatures(F.col("text"), chain).alias("signatures"))
+    ahead = ahead.select("*", F.lead("signatures").over(order).alias("next_signatures"))
     return ahead.where("not lent").drop("range", "lent")
 
 
