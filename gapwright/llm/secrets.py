@@ -27,8 +27,9 @@ PATTERNS = {
 }
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-#: A run that the Markov models judge: no letter, digit or key character before or after it.
-CANDIDATE = r"((?<![\p{L}\p{N}+/_=-])[A-Za-z0-9+/_-]{16,}+={0,2}(?![\p{L}\p{N}=]))"
+#: A run that the Markov models judge: no letter, digit or key character before or after it. A '=' may stand
+#: before it (NAME=value); after it only as padding, so a name before its '=' is no candidate.
+CANDIDATE = r"((?<![\p{L}\p{N}+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}(?![\p{L}\p{N}=]))"
 KINDS = [*PATTERNS, "markov"]
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"

@@ -75,6 +75,20 @@ def test_random_strings_are_found_and_names_are_not(spark):
     assert sum(bool(v) for i, v in hit.items() if i < 10_000) <= 2
 
 
+def test_values_after_an_equals_sign_are_judged(spark):
+    forms = ["AWS_KEY={}", "export SERVICE_ACCOUNT_CREDENTIAL_ID={} # set", "https://x.org/a?sig={}&x=1", "k='{}'", 'k="{}"', "k: {}"]
+    values = unseen()[:100]
+    extra = [(10_000 + i, forms[i % len(forms)].format(s)) for i, s in enumerate(values)]
+    names = ["MODE=internationalization", "?page=get_user_profile_by_id&x=1", "some_long_option_name=calculateMonthlyPayment", "path=/usr/local/share/applications/"]
+    extra += [(20_000 + i, s) for i, s in enumerate(names)]
+    docs = documents(spark).select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string"))
+    hit = {r.doc_id: [r.text[s.start : s.end] for s in r.spans if s.kind == 3] for r in secrets.scan(docs).collect()}
+    for k in range(len(forms)):
+        some = range(k, len(values), len(forms))
+        assert sum(hit[10_000 + i] == [values[i]] for i in some) >= 0.9 * len(some), forms[k]
+    assert not any(hit[20_000 + i] for i in range(len(names)))
+
+
 def test_redacting_merges_overlapping_spans(spark):
     rows = [(1, "a token = deadbeefdeadbeefdeadbeef12 b é password=abcdefg", None, "s", 3), (2, "nothing", None, None, None), (3, None, None, None, None)]
     done = secrets.redact(frame(spark, rows, clash=True))
