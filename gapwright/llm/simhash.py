@@ -22,7 +22,7 @@ from itertools import product
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,10 +77,14 @@ def majority(hashes: list[int], sizes: list[int]) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint): 64 bits as a long, from XXH64 of the lower-cased word shingles."""
-    rows = id_and_text(docs, id_col, text_col).withColumn("text", F.col("text").cast("binary"))
-    schema = T.StructType([field_of(rows, "doc_id"), T.StructField("fingerprint", T.LongType(), False)])
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", tagged: bool = False) -> DataFrame:
+    """(doc_id, fingerprint): 64 bits as a long, from XXH64 of the lower-cased word shingles; `tagged`: with the text's tag."""
+    rows = id_and_text(docs, id_col, text_col)
+    if tagged:
+        rows = rows.withColumn("tag", text_tag(F.col("text")))
+    rows = rows.withColumn("text", F.col("text").cast("binary"))
+    carried = [c for c in rows.columns if c != "text"]
+    schema = T.StructType([*[field_of(rows, c) for c in carried], T.StructField("fingerprint", T.LongType(), False)])
 
     def make():
         def work(part, texts):
@@ -91,7 +95,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
                 hashes += found
                 sizes.append(len(found))
             prints = pa.array(majority(hashes, sizes).view(np.int64))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), prints], names=["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([*map(part.column, carried), prints], names=schema.names)
 
         return work
 
@@ -228,9 +232,8 @@ def close_links(prints: DataFrame, radius: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint, component_id): the smallest id that links of at most `radius` bits reach."""
-    prints = cut_table(fingerprints(docs, shingle, id_col, text_col))
+def component_ids(prints: DataFrame, radius: int) -> DataFrame:
+    """`prints` (doc_id, fingerprint, ...) with component_id: the smallest id that links of at most `radius` bits reach."""
     classes = cut_table(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
     roots = components(close_links(classes, radius)).select(F.col("node").alias("fingerprint"), "root")
     grouped = classes.join(roots, "fingerprint")
@@ -238,11 +241,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col:
     linked = grouped.join(firsts, "root").select("fingerprint", F.col("component_id").alias("linked_id"))
     # cut, so that the join below shuffles plain tables and can split the rows of a fingerprint with many copies
     named = cut_table(classes.join(linked, "fingerprint", "left").select("fingerprint", F.coalesce("linked_id", "first_id").alias("component_id")))
-    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return prints.join(named, "fingerprint")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, fingerprint, component_id): the smallest id that links of at most `radius` bits reach."""
+    prints = cut_table(fingerprints(docs, shingle, id_col, text_col))
+    return component_ids(prints, radius).select("doc_id", "fingerprint", "component_id")
+
+
+def text_tag(text: Column) -> Column:
+    """What tells texts of one id apart: a missing text has a tag of its own."""
+    return F.coalesce(F.sha2(text.cast("string"), 256), F.lit(""))
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of the smallest id of each component, all columns as they came; rows without an id stay."""
-    found = near_duplicates(docs, shingle, radius, id_col, text_col)
-    others = found.where("doc_id <> component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(others, id_col, "left_anti")
+    """The rows of the smallest id of each component, all columns as they came; rows without an id stay.
+
+    Each row is judged by its own text: of an id that several texts have, only the texts go that a smaller id has.
+    """
+    prints = cut_table(fingerprints(docs, shingle, id_col, text_col, tagged=True))
+    found = component_ids(prints, radius)
+    others = found.where("doc_id <> component_id").select(F.col("doc_id").alias("other_id"), F.col("tag").alias("other_tag")).distinct()
+    return docs.join(others, (docs[id_col] == F.col("other_id")) & (text_tag(docs[text_col]) == F.col("other_tag")), "left_anti")

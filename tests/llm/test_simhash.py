@@ -80,3 +80,12 @@ def test_odd_rows_and_empty_table(spark):
     assert kept.columns == frame(spark, []).columns
     ids = [r.doc_id for r in kept.collect()]
     assert 20 not in ids and ids.count(5) == 3 and ids.count(None) == 2 and 1 not in ids and 0 in ids
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    a, b = "the end of the story is near the end of the story", "quite another tale that no other row of this table tells"
+    rows = [(3, a, None, None, None), (5, a, None, None, None), (5, b, None, None, None), (5, None, None, None, None), (None, b, None, None, None)]
+    for df in (frame(spark, rows), frame(spark, rows, clash=True)):
+        kept = simhash.drop_near_duplicates(df)
+        assert kept.columns == df.columns
+        assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(3, a), (5, b), (5, None), (None, b)], key=str)
