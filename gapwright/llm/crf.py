@@ -6,8 +6,8 @@ matrix of transitions is learned with them. Forward-backward gives every word's
 document's language is the one with the highest mean, and that mean is its score.
 
 The model is fitted on a bounded sample: at most `rows_per_language` labelled rows of each language of up to
-`longest` characters, the smallest by hash of the id, so on the same rows at every run. Their words are
-dealt into code-switched training lines, so that staying and switching are both learned. Everything else
+`longest` characters, the smallest by hash of id and text, so on the same rows at every run; equal rows count
+once. Their words are dealt into code-switched training lines, so that staying and switching are both learned. Everything else
 covers all rows and whole texts. Prediction sees the text only.
 
 Missing texts and texts without a letter are `und` with score 0, and so is everything if no row is labelled.
@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from gapwright.llm.common import chunks, field_of, id_and_text
 
@@ -182,22 +183,22 @@ def fit(samples: list[tuple[str, str]], settings: Settings = Settings()) -> Crf:
 
 
 def sample(docs: DataFrame, learn: Column, settings: Settings, id_col: str, text_col: str, lang_col: str) -> list[tuple[str, str]]:
-    """Training rows: of each language those with the smallest hashes, a number bounded by the settings."""
+    """Training rows: of each language those with the smallest hashes of id and text, a number bounded by the settings.
+
+    Equal rows count once, and no language takes another's places, whatever ids are missing or repeat.
+    """
     rows = docs.where(learn & docs[lang_col].isNotNull() & docs[text_col].isNotNull() & (F.length(docs[text_col]) <= settings.longest))
-    rows = rows.select(docs[lang_col].cast("string").alias("lang"), F.xxhash64(docs[id_col].cast("string")).alias("place"), docs[text_col].cast("string").alias("text"))
-    n = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    out = []
-    if n:
-        # twice the rows wanted lie below a language's border, on average; the smallest of them are taken
-        span = F.pmod("place", F.lit(1 << 40)) / float(1 << 40)
-        border = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(2 * settings.rows_per_language / count + 1e-9)) for lang, count in n.items()])
-        wanted = len(n) * settings.rows_per_language
-        taken = dict.fromkeys(n, 0)
-        for r in rows.withColumn("span", span).where(F.col("span") <= border).orderBy("span", "text").limit(3 * wanted).collect():
-            if taken[r["lang"]] < settings.rows_per_language:
-                taken[r["lang"]] += 1
-                out.append((r["lang"], r["text"]))
-    return out
+    rows = rows.select(docs[lang_col].cast("string").alias("lang"), F.xxhash64(docs[id_col].cast("string"), docs[text_col].cast("string")).alias("place"), docs[text_col].cast("string").alias("text"))
+    n = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")).collect()}
+    if not n:
+        return []
+    # twice the distinct rows wanted lie below a language's border, on average; the smallest of them are taken
+    span = F.pmod("place", F.lit(1 << 40)) / float(1 << 40)
+    border = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(2 * settings.rows_per_language / max(count, 1) + 1e-9)) for lang, count in n.items()])
+    low = rows.withColumn("span", span).where(F.col("span") <= border).groupBy("lang", "span", "place").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("span", "place"))
+    chosen = low.withColumn("rank", rank).where(F.col("rank") <= settings.rows_per_language)
+    return [(r["lang"], r["text"]) for r in chosen.orderBy("span", "place", "lang").collect()]
 
 
 def train(docs: DataFrame, learn: Column, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Crf:

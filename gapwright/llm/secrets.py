@@ -86,13 +86,16 @@ def _codes(strings: Column) -> Column:
 
 def samples(docs: DataFrame) -> DataFrame:
     """(label, string): labelled strings of a bounded number of rows."""
-    n = docs.count()
-    span = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40)) / float(1 << 40)
-    chosen = docs.where((span <= 2 * SAMPLE_ROWS / max(n, 1)) & (F.length("text") <= SAMPLE_CHARS)).orderBy(span, "text").limit(SAMPLE_ROWS)
+    # equal rows count once; rows without an id are told apart by their texts
+    place = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
+    n = docs.agg(F.approx_count_distinct(place)).first()[0]
+    span = F.pmod("place", F.lit(1 << 40)) / float(1 << 40)
+    low = docs.withColumn("place", place).where((span <= 2 * SAMPLE_ROWS / max(n, 1)) & (F.length("text") <= SAMPLE_CHARS))
+    chosen = low.groupBy("place").agg(F.min("text").alias("text")).orderBy(span, "place").limit(SAMPLE_ROWS)
     words = F.filter(ascii_words(F.col("text")), lambda w: w.rlike("^[A-Za-z]{2,}$"))
-    chosen = base_spans(chosen).select("doc_id", "text", "base", words.alias("words"))
+    chosen = base_spans(chosen).select("place", "text", "base", words.alias("words"))
     values = F.transform("base", lambda s: F.regexp_extract(F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"]), r"([A-Za-z0-9+/_=-]{6,})[^A-Za-z0-9+/_=-]*$", 1))
-    digest = lambda salt: F.sha2(F.concat_ws(":", F.lit(salt), F.col("doc_id").cast("string")), 256)
+    digest = lambda salt: F.sha2(F.concat_ws(":", F.lit(salt), F.col("place").cast("string")), 256)
     coded = F.base64(F.unhex(digest("b")))
     made = [digest("a"), coded, F.translate(coded, "+/=", ""), F.translate(F.base64(F.unhex(digest("c"))), "+/=", "-_"), F.upper(F.translate(coded, "+/=", "")), F.lower(F.translate(coded, "+/=", ""))]
     joined = lambda how: F.transform("words", lambda w, i: F.concat(w, how(F.coalesce(F.get("words", i + 1), w))))

@@ -75,3 +75,18 @@ def test_odd_rows_and_empty_table(spark):
     assert crf.predict(frame(spark, []), model).collect() == []
     kept = crf.keep_known(docs, model)
     assert kept.columns == docs.columns and kept.count() == sum(r.lang_pred != crf.UNKNOWN for r in found)
+
+
+def test_every_language_has_its_rows_where_ids_are_missing_or_repeat(spark):
+    docs = documents(spark).select("doc_id", "text", "lang")
+    crowd = spark.range(2000).selectExpr("cast(null as long)", "concat('these are plain words number ', id)", "'en'")
+    copies = spark.range(2000).selectExpr("cast(null as long)", "'one and the same text'", "'en'")
+    settings = crf.Settings(rows_per_language=30)
+    alone = crf.sample(docs, docs["lang"].isNotNull(), settings, "doc_id", "text", "lang")
+    for extra in (crowd, copies, crowd.union(copies)):
+        more = docs.union(extra)
+        found = crf.sample(more, more["lang"].isNotNull(), settings, "doc_id", "text", "lang")
+        assert {lang for lang, _ in found} == {lang for lang, _ in alone} > {"en"}
+        assert [x for x in found if x[0] != "en"] == [x for x in alone if x[0] != "en"]
+        assert sum(lang == "en" for lang, _ in found) == 30
+        assert sum(t == "one and the same text" for _, t in found) <= 1

@@ -89,6 +89,15 @@ def test_values_after_an_equals_sign_are_judged(spark):
     assert not any(hit[20_000 + i] for i in range(len(names)))
 
 
+def test_the_sample_is_not_filled_by_rows_without_an_id(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "SAMPLE_ROWS", 50)
+    docs = documents(spark).select("doc_id", "text")
+    crowd = spark.range(300).selectExpr("cast(null as long) as doc_id", "concat('crowd ', id % 3) as text")
+    found = secrets.samples(docs.union(crowd)).where("label = 'random'").distinct().count()
+    assert found >= 6 * 40
+    assert secrets.samples(docs.union(crowd)).where("string = 'crowd'").count() <= 3
+
+
 def test_redacting_merges_overlapping_spans(spark):
     rows = [(1, "a token = deadbeefdeadbeefdeadbeef12 b é password=abcdefg", None, "s", 3), (2, "nothing", None, None, None), (3, None, None, None, None)]
     done = secrets.redact(frame(spark, rows, clash=True))
