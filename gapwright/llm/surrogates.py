@@ -52,11 +52,12 @@ _TITLE = rf"(?:{MALE_TITLES}|{FEMALE_TITLES}|{OTHER_TITLES})\.?"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 
 #: Patterns, the first that matches at a place counts. They can't begin inside a longer word or number.
+#: A telephone number has seven digits at least.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*(?<=\.[A-Za-z]{2,24})",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "account": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])",
-    "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[\x20.-]?(?:\(\d{1,4}\)[\x20.-]?)?\d{1,4}(?:[\x20.-]?\d{2,4}){1,4}|\(\d{3}\)\x20?\d{3}[\x20.-]\d{4}|\d{3}[\x20.-]\d{3}[\x20.-]\d{4})(?!\d)",
+    "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[\x20.-]?(?:\(\d{1,4}\)[\x20.-]?)?\d{1,4}(?:[\x20.-]?\d{2,4}){1,4}|\(\d{3}\)\x20?\d{3}[\x20.-]\d{4}|\d{3}[\x20.-]\d{3}[\x20.-]\d{4})(?<=\d" + r"[\x20.()-]{0,2}\d" * 6 + r")(?!\d)",
     "ssn": r"(?<![\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{N}-])",
     "card": r"(?<![\p{L}\p{N}.-])\d(?:[\x20-]?\d){12,18}(?![\p{N}])",
     "name": rf"(?<![\p{{L}}\p{{N}}])\p{{Lu}}(?:(?<=(?<![\p{{L}}]){_TITLE}\x20\p{{Lu}})|(?<=(?<![\p{{L}}]){_TITLE}\x20\p{{Lu}}\p{{L}}{{1,20}}\x20\p{{Lu}}))[\p{{L}}’'-]*\p{{L}}",
@@ -114,9 +115,9 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.select("doc_id", "tag", "text", "gaps", F.transform("found", described).alias("hits"))
 
 
-def _number(kind: Column, normal: Column, attempt: Column, key: str, salt: str) -> Column:
+def _number(kind: Column, normal: Column, attempt: Column, key: str, salt: str | Column) -> Column:
     """A keyed number of 60 bits for an entity's draw."""
-    digest = F.sha2(F.concat_ws("|", F.lit(key), kind, normal, attempt.cast("string"), F.lit(salt)), 256)
+    digest = F.sha2(F.concat_ws("|", F.lit(key), kind, normal, attempt.cast("string"), salt if isinstance(salt, Column) else F.lit(salt)), 256)
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
@@ -125,13 +126,18 @@ def _drawn(values: str, number: Column) -> Column:
     return F.get(F.array(*[F.lit(x) for x in items]), F.pmod(number, F.lit(len(items))).cast("int"))
 
 
+#: Attempts after which a name or number that still collides grows by a syllable or digit with each attempt.
+PLAIN_ATTEMPTS = {"name": 1, "number": 8}
+
+
 def draw(key: str) -> Column:
-    """The surrogate of (kind, normal) at an attempt, in normal form."""
+    """The surrogate of (kind, normal) at an attempt, in normal form; later attempts draw from larger spaces."""
     kind, normal, attempt = F.col("kind"), F.col("normal"), F.col("attempt")
     number = lambda salt: _number(kind, normal, attempt, key, salt)
     # digits: two blocks of a digest cover the longest number
     blocks = F.concat(*[F.lpad(number(s).cast("string"), 18, "0") for s in ("d0", "d1")])
     n = F.length(normal)
+    more = lambda what: F.greatest(attempt - PLAIN_ATTEMPTS[what], F.lit(0))
     digits = F.substring(F.reverse(blocks), F.lit(1), n)
     luhn = lambda text: F.aggregate(
         F.split(F.reverse(text), ""),
@@ -144,7 +150,9 @@ def draw(key: str) -> Column:
     check = F.pmod(10 - luhn(F.concat(body, F.lit("0"))) + luhn(normal), F.lit(10)).cast("string")
     card = F.concat(body, check)
     phone = F.when(n > 10, F.concat(F.substring(normal, F.lit(1), F.greatest(n - 10, F.lit(1))), F.substring(digits, F.lit(1), n - F.greatest(n - 10, F.lit(1))))).otherwise(digits)
-    ssn = F.concat(F.lit("9"), F.substring(digits, F.lit(2), n - 1))
+    tail = F.substring(F.reverse(blocks), n + 1, more("number"))
+    phone = F.concat(phone, tail)
+    ssn = F.concat(F.lit("9"), F.substring(digits, F.lit(2), n - 1), tail)
     account = F.concat(F.substring(normal, 1, 2), F.array_join(F.transform(F.split(F.substring(normal, F.lit(3), n), ""), lambda c, i: F.when(c.rlike("[0-9]"), F.substring(blocks, i % 34 + 1, F.lit(1))).otherwise(F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), F.pmod(F.xxhash64(F.lit(key), normal, attempt, i), F.lit(26)).cast("int") + 1, F.lit(1)))), ""))
     octet = lambda salt: F.pmod(number(salt), F.lit(256)).cast("string")
     # reserved addresses, so that no surrogate is anyone's
@@ -153,7 +161,7 @@ def draw(key: str) -> Column:
     email = F.concat(letters("u", 4), F.lit("."), F.pmod(number("un"), F.lit(10_000)).cast("string"), F.lit("@"), letters("h", 2), F.lit(".example."), _drawn("com net org", number("t")))
     value = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", phone).when(kind == "ssn", ssn).when(kind == "account", account)
     for script, syllables in SYLLABLES.items():
-        made = lambda salt, count: F.concat(*[_drawn(syllables, number(f"{salt}{i}")) for i in range(count)])  # noqa: E731,B023
+        made = lambda salt, count: F.array_join(F.transform(F.sequence(F.lit(0), more("name") + (count - 1)), lambda i: _drawn(syllables, number(F.concat(F.lit(salt), i.cast("string"))))), "")  # noqa: E731,B023
         value = value.when(kind == f"surname_{script}", made("s", 4))
         for gender, ending in ENDINGS[script].items():
             listed = F.lower(_drawn(GIVEN[script, gender], number("g")))
@@ -185,7 +193,8 @@ def written(hit: Column, kind: Column, surrogate: Column) -> Column:
             (s["at"] + F.when(c.rlike("[0-9A-Z]"), 1).otherwise(0)).alias("at"),
             F.concat(s["out"], F.when(c.rlike("[0-9A-Z]"), F.substring(surrogate, s["at"], F.lit(1))).otherwise(c)).alias("out"),
         ),
-        lambda s: s["out"],
+        # a number that grew has its last digits behind
+        lambda s: F.concat(s["out"], F.substring(surrogate, s["at"], F.length(surrogate))),
     )
     upper = (F.length(hit) > 1) & (F.upper(hit) == hit) & (F.lower(hit) != hit)
     return (

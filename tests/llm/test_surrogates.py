@@ -106,3 +106,19 @@ def test_main_path_has_no_python(spark):
     plan = op9_surrogates(spark, SF)
     assert not re.search("Python|Pandas|Arrow", plan._jdf.queryExecution().executedPlan().toString())
     assert plan.select(F.count("*")).first()[0] == documents(spark).count()
+
+
+def test_short_numbers_are_no_phones(spark):
+    texts = ["+1234", "+12 34", "+123 45 6"]
+    assert replaced(spark, *texts) == texts
+    assert replaced(spark, "+12 345 67")[0] != "+12 345 67"
+
+
+def test_what_collides_often_is_drawn_longer(spark):
+    rows = [(k, n, a) for k, n in (("given_f_latin", "jane"), ("surname_greek", "x"), ("phone", "1234567"), ("ssn", "123456789")) for a in (1, 9, 12)]
+    table = spark.createDataFrame(rows, "kind string, normal string, attempt int").withColumn("surrogate", surrogates.draw("k"))
+    found = {(r.kind, r.attempt): len(r.surrogate) for r in table.collect()}
+    for kind, size in (("given_f_latin", 7), ("surname_greek", 8), ("phone", 7), ("ssn", 9)):
+        assert found[kind, 1] == size < found[kind, 9] < found[kind, 12]
+    (row,) = spark.createDataFrame([("+12 345 67", "phone", "765432189")], "hit string, kind string, s string").select(surrogates.written(F.col("hit"), F.col("kind"), F.col("s")).alias("t")).collect()
+    assert row.t == "+76 543 2189"
