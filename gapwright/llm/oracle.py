@@ -64,4 +64,27 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
   CASE WHEN word_chars > 0 THEN lost::DOUBLE / word_chars ELSE 0.0 END AS lost,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND CASE WHEN word_chars > 0 THEN lost::DOUBLE / word_chars ELSE 0.0 END <= 0.5 AS kept
 FROM s""",
+    "op11_exact": r"""
+WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS normal FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY normal) AS group_size, row_number() OVER w = 1 AS kept, sha256(normal) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY normal ORDER BY chars DESC, doc_id)""",
+    "op12_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+g AS (SELECT d.lang, d.source, coalesce(any_value(v.v), 0) AS v, coalesce(any_value(v.n), 0) AS all_n, coalesce(any_value(s.n), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM d) d LEFT JOIN v USING (lang) LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) s USING (lang, source) GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, (1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (g.n + g.v))::HUGEINT AS p,
+  (1 + 1000000000::HUGEINT * (k.total + 1) // (g.all_n + g.v))::HUGEINT AS q
+  FROM g JOIN kept k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+WHERE part = 'pair' OR rank <= 200""",
 }

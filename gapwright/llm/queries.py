@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwright.llm import bpe, brown, crf, lines, packing, secrets, simhash, spots, substring, surrogates
+from gapwright.llm import bpe, brown, crf, divergence, exact, lines, packing, secrets, simhash, spots, substring, surrogates, variants
 from gapwright.llm.common import documents, held_out
 from gapwright.llm.oracle import ORACLE  # noqa: F401
 
@@ -100,4 +100,20 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(found["doc_id"], 3, 1).alias("held_out"), "lang_pred", "score", "n_words", "n_switches")
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_brown": op2_brown, "op3_packing": op3_packing, "op4_secrets": op4_secrets, "op5_substring": op5_substring, "op6_spots": op6_spots, "op7_simhash": op7_simhash, "op8_lines": op8_lines, "op9_surrogates": op9_surrogates, "op10_language": op10_language}
+def op11_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row with the row of an equal text that stays, white space apart."""
+    found = exact.duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of a language differ from one another, and the terms by which they differ from it."""
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words with the commoner word that they are a variant of."""
+    return variants.forms(variants.word_counts(documents(spark, sf_dir)))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_brown, op3_packing, op4_secrets, op5_substring, op6_spots, op7_simhash, op8_lines, op9_surrogates, op10_language, op11_exact, op12_divergence, op13_variants)}

@@ -1,0 +1,98 @@
+"""The divergence audit against plain arithmetic over whole tables of terms, and against SQL."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+
+from gapwright.llm import divergence
+from gapwright.llm.oracle import ORACLE
+from gapwright.llm.queries import op12_divergence
+from tests.llm.helpers import SF, frame, odd_rows, small_letters
+
+TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def brute(rows, top=200):
+    within, counts = defaultdict(Counter), defaultdict(Counter)
+    for _, text, lang, source, _ in rows:
+        terms = TERM.findall(small_letters(text))
+        within[lang or ""].update(set(terms))
+        counts[lang or "", source or ""].update(terms)
+    out = []
+    for lang in within:
+        kept = [t for t, n in within[lang].items() if n >= 3]
+        sources = sorted(s for l, s in counts if l == lang)
+
+        def shares(counter):
+            total = sum(counter[t] for t in kept)
+            return {t: 1 + 10**9 * (counter[t] + 1) // (total + len(kept)) for t in kept}
+
+        p = {s: shares(counts[lang, s]) for s in sources}
+        q = shares(sum((counts[lang, s] for s in sources), Counter()))
+        for s in sources:
+            pairs = [(sum((p[s][t] - p[o][t]) ** 2 // p[o][t] for t in kept), o) for o in sources if o != s]
+            terms = [((p[s][t] - q[t]) ** 2 // q[t], t) for t in kept if counts[lang, s][t] > 0 and p[s][t] > q[t]]
+            for part, found in (("pair", pairs), ("term", terms)):
+                found.sort(key=lambda x: (-x[0], x[1].encode()))
+                out += [(lang, s, part, item, value, i) for i, (value, item) in enumerate(found, 1) if part == "pair" or i <= top]
+    return sorted(out)
+
+
+def found(df):
+    return sorted(map(tuple, df.select("lang", "source", "part", "item", "value", "rank").collect()))
+
+
+def corpus(seed, n=250, words=400):
+    rng = random.Random(seed)
+    vocabulary = [f"{rng.choice('abcdéßж中')}{''.join(rng.choices('xyzq', k=rng.randrange(1, 5)))}" for _ in range(words)]
+    weights = [1 / (i + 1) for i in range(words)]
+    langs, sources = ["en", "de", None], ["a", "b", "B", "hot", "hot", "hot", None]
+    return [(i, " ".join(rng.choices(vocabulary, weights, k=rng.randrange(40))) + rng.choice(["", " Mixed-CASE_1word", "\t"]), rng.choice(langs), rng.choice(sources), None) for i in range(n)]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_brute_force(spark, seed):
+    rows = corpus(seed)
+    assert found(divergence.audit(frame(spark, rows))) == brute(rows)
+
+
+def test_buckets_change_nothing(spark):
+    rows = corpus(5)
+    assert found(divergence.audit(frame(spark, rows), bucket_rows=60)) == brute(rows)
+
+
+def test_batches_of_words_change_nothing(spark):
+    rows = corpus(6, n=120)
+    assert found(divergence.audit(frame(spark, rows), top=3)) == brute(rows, top=3)
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_odd_rows(spark, clash):
+    rows = odd_rows() + [(40 + i, "the end, the end", "fr", s, None) for i, s in enumerate(["x", "y", "y"])]
+    assert found(divergence.audit(frame(spark, rows, clash))) == brute(rows)
+
+
+def test_languages_without_kept_terms(spark):
+    rows = [(1, "a b", "en", "x", 1), (2, None, "en", "y", 1), (3, "c", "de", "x", 1)]
+    assert found(divergence.audit(frame(spark, rows))) == [("en", "x", "pair", "y", 0, 1), ("en", "y", "pair", "x", 0, 1)]
+
+
+def test_one_term_that_is_everything(spark):
+    rows = [(i, "all " * (10**i), "en", f"s{i}", 1) for i in range(4)] + [(9, "", "en", "empty", 1)]
+    assert found(divergence.audit(frame(spark, rows))) == brute(rows)
+
+
+def test_no_rows(spark):
+    assert divergence.audit(frame(spark, [])).collect() == []
+
+
+def test_query_equals_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    expected = con.execute(f"SELECT lang, source, part, item, value, rank FROM ({ORACLE['op12_divergence']})").fetchall()
+    assert found(op12_divergence(spark, SF)) == sorted(expected)
