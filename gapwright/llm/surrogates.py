@@ -9,8 +9,9 @@ gender and script, a surname its script, and a word written in capitals stays so
 Two entities of one kind never share a surrogate, and no surrogate is an entity of the corpus: what collides
 is drawn again, the entity first in order keeping its draw, until nothing collides.
 
-The table of entities is shuffled, the texts once to meet their surrogates; an entity that a third of all
-documents name is one row of the table, and its occurrences are split by the join. Missing texts stay
+The patterns go over each text once, into a table in the shared folder; only texts with entities are shuffled,
+to meet their surrogates. An entity that a third of all documents name is one row of the table of entities, and
+its occurrences are split by the join. Missing texts stay
 missing. Rows that repeat get equal results, and missing ids are matched like others. Other columns are
 ignored.
 """
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gapwright.llm.common import cut, id_and_text
+from gapwright.llm.common import cut, cut_table, id_and_text
 
 #: Fixed lists: titles by gender, in the languages at hand.
 MALE_TITLES = "Mr|Herr|Herrn|Monsieur|Señor|Sr|Don|Sir|господин|κύριος"
@@ -206,8 +207,11 @@ def written(hit: Column, kind: Column, surrogate: Column) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_<kind>, n_entities, text): every whole text with its entities replaced."""
-    rows = occurrences(docs, id_col, text_col)
-    each = rows.where("hits is not null").select("doc_id", "tag", F.posexplode("hits").alias("place", "hit")).select("doc_id", "tag", "place", "hit.*")
+    # the patterns go over the texts once; a text is kept whole or in pieces
+    found = occurrences(docs, id_col, text_col)
+    found = cut_table(found.withColumn("text", F.when(F.col("hits").isNull(), F.col("text"))))
+    rows = found.where("hits is not null").drop("text")
+    each = rows.select("doc_id", "tag", F.posexplode("hits").alias("place", "hit")).select("doc_id", "tag", "place", "hit.*")
     table = surrogates(cut(each.select("kind", "normal").distinct()), key)
     replaced = each.join(table, ["kind", "normal"]).select("doc_id", "tag", F.struct("place", "kind", written(F.col("hit"), F.col("kind"), F.col("surrogate")).alias("text")).alias("part"))
     # a set, as rows that repeat bring the same parts
@@ -215,8 +219,11 @@ def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
     met = rows.drop("hits").join(lists, F.col("doc_id").eqNullSafe(F.col("key")) & (F.col("tag") == F.col("key_tag")), "left")
     parts = F.col("parts")
     text = F.array_join(F.transform("gaps", lambda gap, i: F.concat(gap, F.coalesce(F.get(parts, i)["text"], F.lit("")))), "")
-    counts = [F.coalesce(F.size(F.filter(F.transform(parts, lambda p: p["kind"]), _is(k))), F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS]
-    return met.select("doc_id", *counts, F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_entities"), F.when(parts.isNotNull(), text).otherwise(F.col("text")).alias("text"))
+    counts = [F.size(F.filter(F.transform(parts, lambda p: p["kind"]), _is(k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    changed = met.select("doc_id", *counts, F.size(parts).cast("long").alias("n_entities"), text.alias("text"))
+    none = F.lit(0).cast("long")
+    plain = found.where("hits is null").select("doc_id", *[none.alias(f"n_{k}") for k in KINDS], none.alias("n_entities"), "text")
+    return changed.unionByName(plain)
 
 
 def _is(kind: str):
