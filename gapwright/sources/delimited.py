@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gapwright.functions import scalars as S
 from gapwright.operators.shape import normalize_missing, quoted, render_all
 
-# Row order of a scanned file: which file, where the split lies in it, and the row's number in its task.
-SCAN_ORDER = ["_file", "_block", "_row"]
+# Row order of a scan: which file, and the row's number in it, from 0 and without gaps.
+SCAN_ORDER = ["_file", "_line"]
 
 # Casts are lenient: text that is no number is missing.
 TYPE_CODES = {"c": None, "i": S.lenient_int, "d": S.lenient_double}
@@ -33,22 +33,36 @@ def read_text_table(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
     )
 
 
-def with_row_order(df: DataFrame, order_by: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
-    """(table, row order columns). Call it right on a file scan, before anything that shuffles.
+def number_rows(df: DataFrame) -> DataFrame:
+    """`df` with `_file` and `_line`, the row's number in its file. Call it right on a file scan.
 
-    `order_by` names columns that give the order already; the last must be a whole number that counts
-    rows (see `chunk_value`). Without it the place comes from the scan: file path, start of the split,
-    and the row's number in its task, which grows along a split.
+    A task numbers its rows upwards, so that a split's rows have consecutive numbers from some start. The rows of
+    each split are counted in a scan without columns; prefix sums over a file's splits turn the task's numbers
+    into the file's. The two scans deal out splits alike, as both list the same files under one setting. The
+    table of splits has as many rows as the scan has splits and is joined to them by Spark's measured size.
     """
-    if order_by:
-        return df, list(order_by)
     placed = df.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    return placed, list(SCAN_ORDER)
+    splits = placed.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    shift = (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift")
+    numbered = placed.join(splits.select("_file", "_block", shift), ["_file", "_block"])
+    return numbered.select(*map(quoted, df.columns), "_file", (F.col("_row") + F.col("_shift")).alias("_line"))
+
+
+def with_row_order(df: DataFrame, order_by: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """(table, row order columns). Call it right on a file scan, before anything that shuffles.
+
+    `order_by` names columns that give the order already; the last must be a whole number that counts
+    rows (see `chunk_value`). Without it every row gets a place of its own, see `number_rows`.
+    """
+    if order_by:
+        return df, list(order_by)
+    return number_rows(df), list(SCAN_ORDER)
 
 
 def scan(

@@ -335,6 +335,18 @@ FROM customer""",
     "strict_numbers": """
 SELECT p_partkey, CASE p_partkey % 8 WHEN 2 THEN p_size * 100::DOUBLE WHEN 3 THEN p_size::DOUBLE WHEN 7 THEN p_size / 10::DOUBLE END AS number FROM part""",
     "sheet_from_text": f"{sql('v_sheet')} SELECT sample_name, library_id, strandedness, udg_treatment, r1, bam, cast(row_ord AS double) AS row_ord FROM v_sheet",
+    "row_numbers": f"""{sql('v_sheet')}
+SELECT sample_name, library_id, cast(row_ord AS varchar) AS row_ord, cast(row_ord % 5 AS bigint) AS part,
+       row_number() OVER (PARTITION BY row_ord % 5 ORDER BY row_ord, library_id, sample_name) - 1 AS line
+FROM v_sheet""",
+    "records_from_text": f"""
+SELECT 'I' || cast(p_partkey AS varchar) AS "{P.RECORD_ID}", CASE WHEN p_partkey % 5 <> 0 THEN p_size END AS "Nr_Libraries",
+       p_brand AS "Capture_Type", CASE WHEN p_partkey % 7 <> 0 THEN cast(p_partkey AS integer) END AS "Nr_SNPs",
+       p_type AS "Contamination", CASE WHEN p_partkey % 3 <> 0 THEN p_brand END AS "Contamination_Err",
+       CASE WHEN p_partkey % 2 <> 0 THEN p_retailprice END AS "Coverage_on_Target_SNPs",
+       cast(NULL AS varchar) AS "Contamination_Meas", cast(NULL AS varchar) AS "Contamination_Note", cast(p_partkey % 10 AS bigint) AS part,
+       row_number() OVER (PARTITION BY p_partkey % 10 ORDER BY 'I' || cast(p_partkey AS varchar)) - 1 AS line
+FROM part""",
     "lenient_numbers": """
 SELECT p_partkey, CASE WHEN p_partkey % 4 <> 0 THEN p_size END AS whole,
        CASE p_partkey % 4 WHEN 0 THEN NULL WHEN 1 THEN p_size + cast(0.75 AS double) ELSE cast(p_size AS double) END AS number

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapwright.functions import aggregates as A
@@ -335,6 +335,48 @@ def sheet_from_text(spark, sf_dir):
     return table.select(*rows.columns)
 
 
+def _text_files(spark: SparkSession, rows: DataFrame, part: Column, order: list[str]) -> str:
+    """Rows as text, one file for each value of `part`, in order within it."""
+    path = f"{shared_folder(spark)}/text-{uuid.uuid4().hex}"
+    dealt = rows.withColumn("part", part).repartition("part").sortWithinPartitions("part", *order)
+    shape.render_all(dealt).write.partitionBy("part").option("sep", "\t").option("header", True).csv(path)
+    return path
+
+
+@query
+def row_numbers(spark, sf_dir):
+    """A sheet in several files and many splits: each line's number in its file."""
+    rows = view(spark, sf_dir, "v_sheet").select("sample_name", "library_id", "r1", "row_ord")
+    path = _text_files(spark, rows, F.col("row_ord") % 5, ["row_ord", "library_id", "sample_name"])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        table, order = delimited.scan(spark, path, ["n/a"])
+        numbered = f"{path}-numbered"
+        table.select("sample_name", "library_id", "row_ord", F.col("part").cast("long").alias("part"), F.col(order[-1]).alias("line")).write.parquet(numbered)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    return spark.read.parquet(numbered)
+
+
+@query
+def records_from_text(spark, sf_dir):
+    """A record file written and read: missing spellings, casts, names of an old version, the output order as a column."""
+    p = F.col("p_partkey")
+    old = one(spark, sf_dir, "part").select(
+        F.concat(F.lit("I"), p.cast("string")).alias("Individual_ID"),
+        F.when(p % 5 != 0, F.concat(F.col("p_size").cast("string"), F.lit(".7"))).alias("No_of_Libraries"),
+        F.col("p_brand").alias("Data_Type"),
+        F.when(p % 7 == 0, F.col("p_name")).otherwise(p.cast("string")).alias("Nr_autosomal_SNPs"),
+        F.col("p_type").alias("Xcontam"),
+        F.when(p % 3 != 0, F.col("p_brand")).alias("Xcontam_stderr"),
+        F.when(p % 2 != 0, F.col("p_retailprice").cast("string")).alias("Coverage_1240K"),
+    )
+    path = _text_files(spark, old, F.substring("Individual_ID", -1, 1), ["Individual_ID"])
+    table, order = completion.read_records(spark, path)
+    return table.withColumn("part", F.col("part").cast("long")).withColumnRenamed(order[-1], "line").drop(*order)
+
+
 # ---------------------------------------------------------------- aggregates
 
 

@@ -85,3 +85,21 @@ def test_missing_keys_meet_in_the_compiled_table(make):
     got = compile_units(sheet, endogenous=endogenous)
     assert rows(got, "Library_ID", "Endogenous") == sorted([("L1", 1.0), (None, 2.0)], key=repr)
 
+
+
+def test_rows_are_numbered_over_files_and_splits(spark, tmp_path):
+    for name, n in (("a", 500), ("b", 1), ("c", 0), ("d", 300)):
+        lines = "".join(f"{name}{i}\t{'x' * (i % 37)}\n" + ("\n" if i % 50 == 0 else "") for i in range(n))
+        (tmp_path / f"{name}.tsv").write_text("id\ttext\n" + lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        table, order = delimited.scan(spark, str(tmp_path))
+        assert order == ["_file", "_line"] and table.select("id").rdd.getNumPartitions() > 10
+        got = sorted((r._file.rpartition("/")[2], r._line, r.id) for r in table.collect())
+        # numbers don't depend on which columns are read, nor on what follows
+        thin = table.groupBy("_file").agg(F.max("_line").alias("last"), F.count_distinct("_line").alias("n"))
+        assert sorted((r.last, r.n) for r in thin.collect()) == [(0, 1), (299, 300), (499, 500)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == sorted((f"{name}.tsv", i, f"{name}{i}") for name, n in (("a", 500), ("b", 1), ("d", 300)) for i in range(n))
