@@ -338,8 +338,11 @@ def sheet_from_text(spark, sf_dir):
 def _text_files(spark: SparkSession, rows: DataFrame, part: Column, order: list[str]) -> str:
     """Rows as text, one file for each value of `part`, in order within it."""
     path = f"{shared_folder(spark)}/text-{uuid.uuid4().hex}"
-    dealt = rows.withColumn("part", part).repartition("part").sortWithinPartitions("part", *order)
-    shape.render_all(dealt).write.partitionBy("part").option("sep", "\t").option("header", True).csv(path)
+    numbered = rows.select("*", *[F.col(c).alias(f"_by_{i}") for i, c in enumerate(order)], part.cast("string").alias("part"))
+    text = [S.render(F.col(c), kind, P.MISSING_TEXT).alias(c) for c, kind in rows.dtypes]
+    by = [f"_by_{i}" for i in range(len(order))]
+    dealt = numbered.select(*text, *by, "part").repartition("part").sortWithinPartitions("part", *by)
+    dealt.drop(*by).write.partitionBy("part").option("sep", "\t").option("header", True).csv(path)
     return path
 
 
