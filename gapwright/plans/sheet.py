@@ -79,8 +79,11 @@ def summarise_sheet(
     keys: Sequence[str] = ("Sample_Name",),
     build: str = "Strandedness",
     treatment: str = "UDG_Treatment",
+    groups: str = "placed",
 ) -> DataFrame:
-    """Per sample: number of libraries, their capture types in row order, UDG and build or `mixed`."""
-    return ordered_lists(
-        libraries, keys, {"Capture_Type": F.col("Seq_Type")}, order_by, summary_stages(build, treatment)
-    )
+    """Per sample: number of libraries, their capture types in row order, UDG and build or `mixed`.
+
+    `groups` says what is known of the samples' sizes, see `ordered_lists`.
+    """
+    stages = summary_stages(build, treatment)
+    return ordered_lists(libraries, keys, {"Capture_Type": F.col("Seq_Type")}, order_by, stages, groups=groups)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -35,6 +36,21 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, *
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the cluster names it; one of our own where none is named."""
+    """The folder that driver and executors share, as the cluster names it; on a local master one of our own."""
     named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    return (named or tempfile.mkdtemp(prefix="gapwright-")).rstrip("/")
+    if named is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
+    if named is None:
+        named = tempfile.mkdtemp(prefix="gapwright-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The same rows read from a table in the shared folder, for a long lineage that is read more than once.
+
+    The table stays there for the caller to remove, as the result may be read at any time.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -378,6 +378,11 @@ FROM v_sheet GROUP BY sample_name""",
 SELECT sample_name, string_agg(coalesce(udg_treatment, 'NA'), ';' ORDER BY row_ord, coalesce(udg_treatment, 'NA')) AS treatments,
        string_agg(library_id, ';' ORDER BY row_ord, library_id) AS libraries
 FROM v_sheet GROUP BY sample_name""",
+    "concat_ordered_any": f"""{sql('v_sheet')}
+SELECT run, string_agg(library_id, ';' ORDER BY place NULLS FIRST, library_id) AS libraries,
+       string_agg(coalesce(udg_treatment, 'NA'), ';' ORDER BY coalesce(udg_treatment, 'NA')) FILTER (place IS NULL) AS treatments, count(*) AS n
+FROM (SELECT substr(r1, 1, 7) AS run, library_id, udg_treatment, CASE row_ord % 3 WHEN 0 THEN row_ord WHEN 1 THEN 7 END AS place FROM v_sheet)
+GROUP BY run""",
     "concat_distinct_ordered": f"""{sql('v_sheet')}
 SELECT sample_name, string_agg(v, ';' ORDER BY place, v) AS treatments
 FROM (SELECT sample_name, coalesce(udg_treatment, 'NA') AS v, min(row_ord) AS place FROM v_sheet GROUP BY ALL) t GROUP BY sample_name""",
@@ -410,8 +415,8 @@ SELECT sample_name, nullif(count(*) FILTER ("Seq_Type" = 'Shotgun'), 0) AS n_sho
 FROM v_libs GROUP BY sample_name
 HAVING n_shotgun IS NOT NULL OR last_plus IS NOT NULL OR first_single IS NOT NULL""",
     "facet_merge_duplicates": """
-WITH a AS (SELECT nullif(s_suppkey % 40, 3) AS k, s_name AS a FROM supplier),
-b AS (SELECT nullif(c_custkey % 40, 3) AS k, c_name AS b FROM customer WHERE c_custkey % 25 = 0),
+WITH a AS (SELECT nullif(s_suppkey // 2, 3) AS k, s_name AS a FROM supplier),
+b AS (SELECT nullif(c_custkey // 3, 3) AS k, c_name AS b FROM customer),
 c AS (SELECT CASE WHEN n_nationkey % 5 <> 0 THEN n_regionkey END AS k, n_name AS c FROM nation),
 two AS (SELECT coalesce(a.k, b.k) AS k, a, b FROM a FULL JOIN b ON a.k IS NOT DISTINCT FROM b.k)
 SELECT k, a, b, NULL::VARCHAR AS c, 2 AS n FROM two
@@ -424,6 +429,7 @@ UNION ALL SELECT coalesce(two.k, c.k), a, b, c, 3 FROM two FULL JOIN c ON two.k
     ),
     "facets_sex": _facts('SELECT sample_name, "Genetic_Sex", "Sex_Determination_Note", "Damage", "Nr_SNPs" FROM v_facts'),
     "run_import": _facts(f"SELECT {_NO_MEANS} FROM v_facts"),
+    "run_import_any": _facts(f"SELECT {_NO_MEANS} FROM v_facts"),
     "run_import_single": _facts(f"SELECT {_NO_MEANS} FROM v_facts", where="WHERE strandedness = 'single'"),
     "run_import_unplaced": _facts(
         'SELECT sample_name, "Nr_Libraries", "Library_Built", "Endogenous", "Damage", "Nr_SNPs", "Contamination", "Contamination_Err" FROM v_facts'
@@ -479,6 +485,7 @@ FROM {_FILL_JOIN}""",
     "compile_units": f"{sql('v_sheet', 'v_tools')}, {_compiled()} SELECT * EXCLUDE (est, se) FROM v_units",
     "compile_units_partial": f"{sql('v_sheet', 'v_tools')}, {_compiled(True)} SELECT * EXCLUDE (est, se) FROM v_units",
     "rollup_units": f"{sql('v_sheet', 'v_tools')}, {_compiled()}, {_ROLLUP}",
+    "rollup_units_any": f"{sql('v_sheet', 'v_tools')}, {_compiled()}, {_ROLLUP}",
     "rollup_unplaced": f"""{sql('v_sheet', 'v_tools')}, {_compiled()}, {_ROLLUP.replace("SELECT u.sample_name", ", v_done AS (SELECT u.sample_name", 1)})
 SELECT sample_name, library_id, "Contamination", "Contamination_Err", "Contamination_Meas", "Damage", "Endogenous" FROM v_done""",
     "compile_units_pre": f"{sql('v_sheet', 'v_tools')}, {_compiled()} SELECT sample_name, library_id, row_ord, \"Endogenous\" / 2 AS \"Endogenous\" FROM v_units",

@@ -14,7 +14,7 @@ from gapwright.operators import fill, joins, lists, shape
 from gapwright.operators.calibrate import calibrate_dates, curve_for_latitude
 from gapwright.plans import compiled, completion, context, run_facts, sheet
 from gapwright.plans import presets as P
-from gapwright.session import shared_folder
+from gapwright.session import shared_folder, stored
 from gapwright.sources import delimited
 from gapwright.suite.views import tables, view
 
@@ -46,7 +46,8 @@ def unplace(sheet_rows: DataFrame) -> DataFrame:
     return sheet_rows.withColumn("row_ord", F.when(F.xxhash64("library_id") % 3 != 0, F.col("row_ord")))
 
 
-def facts(spark: SparkSession, sf_dir: str, unplaced: bool = False, **options) -> DataFrame:
+def facts(spark: SparkSession, sf_dir: str, unplaced: bool = False, groups: str = "small", **options) -> DataFrame:
+    """An order has at most seven lines by the format of the tables, so samples, libraries and QC keys are small."""
     rows = view(spark, sf_dir, "v_sheet")
     return run_facts.import_run(
         unplace(rows) if unplaced else rows,
@@ -56,6 +57,7 @@ def facts(spark: SparkSession, sf_dir: str, unplaced: bool = False, **options) -
         cutoff=CUTOFF,
         stats_key="sample_key",
         files=("r1", "bam"),
+        groups=groups,
         **SHEET,
         **options,
     ).withColumns({c: F.col(c).cast("double") for c in ("Damage", "Endogenous")})
@@ -180,7 +182,7 @@ def sheet_clean_double(spark, sf_dir):
 
 @query
 def sheet_summary(spark, sf_dir):
-    return sheet.summarise_sheet(clean(spark, sf_dir), ORDER, ["sample_name"], "strandedness", "udg_treatment")
+    return sheet.summarise_sheet(clean(spark, sf_dir), ORDER, ["sample_name"], "strandedness", "udg_treatment", "small")
 
 
 @query
@@ -423,7 +425,19 @@ def collapse_mixed(spark, sf_dir):
 @query
 def concat_ordered(spark, sf_dir):
     s = view(spark, sf_dir, "v_sheet")
-    return lists.ordered_lists(s, ["sample_name"], {"treatments": F.col("udg_treatment"), "libraries": F.col("library_id")}, ORDER)
+    return lists.ordered_lists(s, ["sample_name"], {"treatments": F.col("udg_treatment"), "libraries": F.col("library_id")}, ORDER, groups="small")
+
+
+@query
+def concat_ordered_any(spark, sf_dir):
+    """Suppliers with many lines, a third of them without a place and a third at one place."""
+    s = view(spark, sf_dir, "v_sheet")
+    place = F.when(F.col("row_ord") % 3 == 0, F.col("row_ord")).when(F.col("row_ord") % 3 == 1, F.lit(7))
+    rows = s.select(F.substring("r1", 1, 7).alias("run"), "library_id", "udg_treatment", place.alias("row_ord"))
+    return lists.ordered_lists(
+        rows, ["run"], {"libraries": F.col("library_id"), "treatments": F.col("udg_treatment")}, ORDER,
+        {"n": A.staged_count("n")}, where={"treatments": F.col("row_ord").isNull()}, groups="any",
+    )
 
 
 @query
@@ -521,9 +535,9 @@ def facet_merge_duplicates(spark, sf_dir):
     """Facets that repeat keys and lack some; two and three of them mean the same."""
     t = tables(spark, sf_dir, "supplier", "customer", "nation")
     region = F.when(F.col("n_nationkey") % 5 != 0, F.col("n_regionkey"))
-    key = F.nullif(F.col("k") % 40, F.lit(3))
-    a = t["supplier"].select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("a")).withColumn("k", key).filter("a is not null")
-    b = t["customer"].filter("c_custkey % 25 = 0").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("b")).withColumn("k", key)
+    key = lambda name, repeats: F.nullif(F.floor(F.col(name) / repeats), F.lit(3)).alias("k")
+    a = t["supplier"].select(key("s_suppkey", 2), F.col("s_name").alias("a"))
+    b = t["customer"].select(key("c_custkey", 3), F.col("c_name").alias("b"))
     c = t["nation"].select(region.cast(a.schema["k"].dataType).alias("k"), F.col("n_name").alias("c"))
     two = joins.merge_facets([a, b], ["k"]).withColumn("c", F.lit(None).cast("string"))
     return two.withColumn("n", F.lit(2)).unionByName(joins.merge_facets([a, b, c], ["k"]).withColumn("n", F.lit(3)))
@@ -573,10 +587,16 @@ def run_import_single(spark, sf_dir):
     return facts(spark, sf_dir, keep_only="single")
 
 
+@query
+def run_import_any(spark, sf_dir):
+    """The same facts by the plan for samples and QC keys of any size."""
+    return facts(spark, sf_dir, groups="any")
+
+
 @query
 def run_import_unplaced(spark, sf_dir):
     """Rows without a place in the sheet count like others."""
-    return facts(spark, sf_dir, unplaced=True).select(
+    return facts(spark, sf_dir, unplaced=True, groups="placed").select(
         "sample_name", "Nr_Libraries", "Library_Built", "Endogenous", "Damage", "Nr_SNPs", "Contamination", "Contamination_Err"
     )
 
@@ -683,7 +703,7 @@ def complete_records(spark, sf_dir):
         PIPELINE_URL,
         orders=(ORDER, ORDER, STATS_ORDER),
         cutoff=CUTOFF,
-        run_options={"stats_key": "sample_key", "files": ("r1", "bam"), **SHEET},
+        run_options={"stats_key": "sample_key", "files": ("r1", "bam"), "groups": "small", **SHEET},
     )
     return shape.render_all(done)
 
@@ -708,7 +728,20 @@ def compile_units_partial(spark, sf_dir):
 
 @query
 def rollup_units(spark, sf_dir):
-    done = compiled.rollup_units(units(spark, sf_dir), ORDER, 100, "sample_name", "library_id")
+    """An order has at most seven lines, so its samples and libraries are small."""
+    rows = stored(units(spark, sf_dir))
+    done = compiled.rollup_units(rows, ORDER, 100, "sample_name", "library_id", groups="small")
+    return done.select(
+        "sample_name", "library_id", "row_ord", "Contamination", "Contamination_Err", "Contamination_Note",
+        "Contamination_Meas", "Damage", "Endogenous", "Library_Names",
+    )
+
+
+@query
+def rollup_units_any(spark, sf_dir):
+    """The same by the plan for samples and libraries of any size."""
+    rows = stored(units(spark, sf_dir))
+    done = compiled.rollup_units(rows, ORDER, 100, "sample_name", "library_id", groups="any")
     return done.select(
         "sample_name", "library_id", "row_ord", "Contamination", "Contamination_Err", "Contamination_Note",
         "Contamination_Meas", "Damage", "Endogenous", "Library_Names",
