@@ -150,3 +150,13 @@ def without_nan(df: DataFrame) -> DataFrame:
     return df.select(
         *[S.nan_to_null(quoted(n)).alias(n) if kind in ("double", "float") else quoted(n) for n, kind in df.dtypes]
     )
+
+
+def must_have_rows(df: DataFrame, message: str) -> DataFrame:
+    """`df`, which fails with `message` when it turns out to be empty, in the job that reads it.
+
+    A count of the rows is attached as a branch that gives no row itself.
+    """
+    counted = df.agg(F.count(F.lit(1)).alias("n"))
+    failing = counted.where(F.assert_true(F.col("n") > 0, message).isNotNull())
+    return df.unionByName(failing.select(*[F.lit(None).cast(kind).alias(name) for name, kind in df.dtypes]))

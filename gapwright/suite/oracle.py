@@ -421,6 +421,7 @@ c AS (SELECT CASE WHEN n_nationkey % 5 <> 0 THEN n_regionkey END AS k, n_name AS
 two AS (SELECT coalesce(a.k, b.k) AS k, a, b FROM a FULL JOIN b ON a.k IS NOT DISTINCT FROM b.k)
 SELECT k, a, b, NULL::VARCHAR AS c, 2 AS n FROM two
 UNION ALL SELECT coalesce(two.k, c.k), a, b, c, 3 FROM two FULL JOIN c ON two.k IS NOT DISTINCT FROM c.k""",
+    "chain_context_guarded": f"{sql('v_records')}, {_IDS.format('record_id')}, {_CHAIN}, {_CONTEXT} SELECT * FROM v_found",
     "chain_context": f"{sql('v_records')}, {_IDS.format('record_id')}, {_CHAIN}, {_CONTEXT} SELECT * FROM v_found",
     "facets_endogenous": _facts('SELECT sample_name, "Endogenous" FROM v_facts'),
     "facets_contamination": _facts(
@@ -482,6 +483,16 @@ FROM {_FILL_JOIN}""",
         "v_records",
         extra=f",\n{_IDS.format('record_id')}, {_CHAIN}, {_CONTEXT}",
     ),
+    "completion_counts": _facts(
+        f"""SELECT count(*) AS rows, count(*) FILTER (r.record_id IS NULL) AS unlisted, cast(0 AS bigint) AS unmatched, cast(0 AS bigint) AS repeated,
+       count(*) FILTER (r.sex IS DISTINCT FROM {_SEX_NEW}) AS changed FROM {_FILL_JOIN}""",
+        "v_records",
+    ),
+    "completion_changes": _facts(
+        f"""SELECT coalesce(r.record_id, x.sample_name) AS "{P.RECORD_ID}", r.sex AS old, {_SEX_NEW} AS new FROM {_FILL_JOIN}
+WHERE r.sex IS DISTINCT FROM {_SEX_NEW}""",
+        "v_records",
+    ),
     "compile_units": f"{sql('v_sheet', 'v_tools')}, {_compiled()} SELECT * EXCLUDE (est, se) FROM v_units",
     "compile_units_partial": f"{sql('v_sheet', 'v_tools')}, {_compiled(True)} SELECT * EXCLUDE (est, se) FROM v_units",
     "rollup_units": f"{sql('v_sheet', 'v_tools')}, {_compiled()}, {_ROLLUP}",

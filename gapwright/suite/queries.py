@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gapwright.functions import aggregates as A
@@ -551,6 +551,14 @@ def chain_context(spark, sf_dir):
     return context.import_context(individuals, chain, ids)
 
 
+@query
+def chain_context_guarded(spark, sf_dir):
+    """The same, failing in its own job if no id is known, with a strict choice of the curve."""
+    individuals, chain = lab_tables(spark, sf_dir)
+    ids = completion.context_ids(records(spark, sf_dir), P.RECORD_ID)
+    return context.import_context(individuals, chain, ids, require_rows=True)
+
+
 # ---------------------------------------------------------------- run facts
 
 
@@ -682,19 +690,17 @@ def render_records(spark, sf_dir):
 
 @query
 def fill_records(spark, sf_dir):
-    external = facts(spark, sf_dir).withColumnRenamed("sample_name", P.RECORD_ID)
+    external = stored(facts(spark, sf_dir).withColumnRenamed("sample_name", P.RECORD_ID))
     return completion.fill_records(records(spark, sf_dir), external, "haploid", ORDER, PIPELINE_URL).select(
         P.RECORD_ID, "Relation_To", "Site", "Nr_Libraries", "Capture_Type", "UDG", "Library_Built", "Genetic_Sex",
         "Genotype_Ploidy", "Note", "Sex_Determination_Note", P.PIPELINE_URL,
     )
 
 
-@query
-def complete_records(spark, sf_dir):
-    """End to end: records, sheet, QC table and lab chain to the completed record table as text."""
+def _completed(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     individuals, chain = lab_tables(spark, sf_dir)
     stats = view(spark, sf_dir, "v_stats")
-    done = completion.complete_records(
+    return completion.complete_records(
         records(spark, sf_dir),
         view(spark, sf_dir, "v_sheet"),
         stats,
@@ -704,8 +710,30 @@ def complete_records(spark, sf_dir):
         orders=(ORDER, ORDER, STATS_ORDER),
         cutoff=CUTOFF,
         run_options={"stats_key": "sample_key", "files": ("r1", "bam"), "groups": "small", **SHEET},
+        **options,
     )
-    return shape.render_all(done)
+
+
+@query
+def complete_records(spark, sf_dir):
+    """End to end: records, sheet, QC table and lab chain to the completed record table as text."""
+    return shape.render_all(_completed(spark, sf_dir))
+
+
+@query
+def completion_counts(spark, sf_dir):
+    """What the job that writes completed records has counted on its way."""
+    counted = Observation("completion")
+    _completed(spark, sf_dir, observation=counted).write.parquet(f"{shared_folder(spark)}/records-{uuid.uuid4().hex}")
+    # the counts that the writing job took: one row, whatever the size of the tables
+    return spark.createDataFrame([tuple(counted.get[c] for c in ("rows", "unlisted", "unmatched", "repeated", "changed"))], "rows long, unlisted long, unmatched long, repeated long, changed long")
+
+
+@query
+def completion_changes(spark, sf_dir):
+    """The changed sex calls of the whole job."""
+    done = _completed(spark, sf_dir, keep_old="old_sex", unlisted="keep")
+    return fill.change_report(done, [P.RECORD_ID], "old_sex", P.SEX)
 
 
 # ---------------------------------------------------------------- second path
