@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -104,11 +105,15 @@ def write_records(
     read_from: Sequence[str | Sequence[str]] = (),
     missing: str = "n/a",
     overwrite: bool = False,
+    by: Sequence[str] = (),
 ) -> None:
     """All columns as text, missing spelled out, tab separated with a header, one file per task.
 
     An output that exists is an error unless `overwrite` is set. The output must not be, hold or lie in a
-    path that is being read, however it is spelled: Spark would delete its own input.
+    path that is being read, however it is spelled: Spark would delete its own input. `by` columns become folders.
+
+    The rows are written beside the target, under a name that scans skip, and moved there when all of them are
+    written: a job that fails leaves an existing output as it was, and no part of a new one.
     """
     spark = df.sparkSession
     out = qualified(spark, path)
@@ -116,5 +121,29 @@ def write_records(
         given = qualified(spark, source)
         if f"{given}/".startswith(f"{out}/") or f"{out}/".startswith(f"{given}/"):
             raise ValueError(f"output path {path!r} overlaps the input path {source!r}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(out)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(target) and not overwrite:
+        raise ValueError(f"output path {path!r} exists")
+    beside = lambda what: spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f"_{what}-{target.getName()}-{uuid.uuid4().hex}")
+    staged, former = beside("staged"), beside("former")
     rendered = render_all(df, missing)
-    rendered.write.mode("overwrite" if overwrite else "errorifexists").option("sep", "\t").option("header", True).option("escape", '"').csv(path)
+    try:
+        writer = rendered.write.option("sep", "\t").option("header", True).option("escape", '"')
+        (writer.partitionBy(*by) if by else writer).csv(staged.toString())
+        if system.exists(target):
+            _move(system, target, former)
+        try:
+            _move(system, staged, target)
+        except Exception:
+            if system.exists(former):
+                _move(system, former, target)
+            raise
+        system.delete(former, True)
+    finally:
+        system.delete(staged, True)
+
+
+def _move(system, source, target) -> None:
+    if not system.rename(source, target):
+        raise OSError(f"{source} could not be moved to {target}")

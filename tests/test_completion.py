@@ -58,8 +58,10 @@ def test_context(make, lab):
     # Without a lab number no date is trusted.
     assert [b[c] for c in ("Date_C14_Labnr", "Date_BC_AD_Start", "Date_BC_AD_Stop", "Date_Type", "Date_Note")] == [None] * 5
     assert a["Date_BC_AD_Median"] is None and a["Date_C14_Uncal_BP"] is None
-    with pytest.raises(ValueError, match="none of the requested"):
-        context.import_context(*lab, make("context_id string", ("nobody",)), require_rows=True)
+    guarded = context.import_context(*lab, make("context_id string", ("nobody",)), require_rows=True)
+    with pytest.raises(Exception, match="none of the requested"):
+        guarded.collect()
+    assert rows(context.import_context(*lab, ids, require_rows=True), "context_id") == [("ABC001",), ("ABC002",)]
 
 
 def test_context_with_calibration(make, lab, curve):
@@ -176,11 +178,13 @@ def test_sink(spark, make, tmp_path):
         delimited.write_records(df, out + "/", [out])
 
 
-def test_files_end_to_end(spark, make, tmp_path, lab):
+def package_files(folder):
+    """Sheet, QC table and records of one run as files."""
     names = dict(P.STATS_COLUMNS)
+    folder.mkdir(parents=True, exist_ok=True)
     sheet_head = ["Sample_Name", "Library_ID", "Lane", "Colour", "SeqType", "Organism", "Strandedness", "UDG_Treatment", "R1", "R2", "BAM"]
     sheet = write(
-        tmp_path / "sheet.tsv",
+        folder / "sheet.tsv",
         sheet_head,
         ["ABC001_ss", "ABC001.A0101.SG1", 1, 4, "PE", "H", "single", "none", "l1.fq", "NA", "NA"],
         ["ABC001_ss", "ABC001.A0101.SG1", 2, 4, "PE", "H", "single", "none", "l2.fq", "NA", "NA"],
@@ -192,22 +196,29 @@ def test_files_end_to_end(spark, make, tmp_path, lab):
         return [key, *[values.get(c, "N/A") for c in names]]
 
     stats = write(
-        tmp_path / "stats.tsv",
+        folder / "stats.tsv",
         ["Sample", *names.values()],
         qc("ABC001_ss", sexdet_rate_x=0.4, sexdet_rate_y=0.4, sexdet_err_x=0.01, sexdet_err_y=0.02, covered_snps=600000),
         qc("ABC001.A0101.SG1", endogenous_dna=45.5, damage_5p1=0.12, x_contamination_snps=250, x_contamination=0.0123, x_contamination_error=0.002, filtered_mapped_reads=1000),
         qc("ABC003.A0101.TF1", x_contamination_snps=20, x_contamination=0.5, x_contamination_error=0.2, filtered_mapped_reads=50),
     )
     records = write(
-        tmp_path / "records.tsv",
+        folder / "records.tsv",
         ["Record_ID", "Site", "Nr_Libraries", "Genetic_Sex", "Relation_To", "Group_Name", "Unlisted"],
         ["ABC003", "kept", "n/a", "F", "n/a", "G", "u"],
         ["ABC001_ss", "n/a", "7", "U", "ABC003", "n/a", "u"],
         ["ABC999", "n/a", "n/a", "n/a", "n/a", "n/a", "u"],
     )
+    return records, sheet, stats
+
+
+def test_files_end_to_end(spark, make, tmp_path, lab):
+    records, sheet, stats = package_files(tmp_path)
     out = str(tmp_path / "done")
     run = dict(output_path=out, ploidy="haploid", pipeline_url="https://example.org/p", suffix="_ss")
-    completion.complete_record_files(spark, records, sheet, stats, *lab, **run)
+    counts = completion.complete_record_files(spark, records, sheet, stats, *lab, **run)
+    # one unknown sex became M, one record had none and got none, the unlisted sample got U
+    assert {k: counts[k] for k in ("rows", "unlisted", "unmatched", "repeated", "changed")} == {"rows": 4, "unlisted": 1, "unmatched": 0, "repeated": 0, "changed": 2}
     back = delimited.read_text_table(spark, out)
     got = {r["Record_ID"]: r.asDict() for r in back.collect()}
     assert "Unlisted" not in back.columns
@@ -228,3 +239,55 @@ def test_files_end_to_end(spark, make, tmp_path, lab):
     assert [x for x in lines if x != "Record_ID"] == ["ABC003", "ABC001_ss", "ABC999", "n/a"]
     with pytest.raises(ValueError, match="input path"):
         completion.complete_record_files(spark, records, sheet, stats, *lab, **{**run, "output_path": records})
+
+
+def cells(spark, path):
+    table = delimited.read_text_table(spark, path)
+    return sorted([tuple(sorted(r.asDict().items())) for r in table.drop(completion.PACKAGE).collect()])
+
+
+@pytest.mark.parametrize("groups", ["small", "placed", "any"])
+def test_packages_together_equal_each_apart(spark, tmp_path, lab, groups):
+    """The same sample and library names in two packages, with other values."""
+    run = dict(ploidy="haploid", suffix="_ss", run_options={"groups": groups})
+    apart = []
+    for name in ("one", "two"):
+        paths = package_files(tmp_path / "in" / name)
+        if name == "two":
+            for path in paths:
+                text = open(path).read()
+                open(path, "w").write(text.replace("45.5", "12.25").replace("ABC999", "XYZ111").replace("half", "full").replace("600000", "700"))
+        completion.complete_record_files(spark, *paths, *lab, output_path=str(tmp_path / f"out-{name}"), **run)
+        apart.append(cells(spark, str(tmp_path / f"out-{name}")))
+    assert apart[0] != apart[1]
+    together = [str(tmp_path / "in" / "*" / f"{kind}.tsv") for kind in ("records", "sheet", "stats")]
+    counts = completion.complete_record_files(spark, *together, *lab, output_path=str(tmp_path / "out"), packages=True, **run)
+    assert counts["rows"] == 8 and counts["repeated"] == 0
+    for name, expected in zip(("one", "two"), apart, strict=True):
+        got = cells(spark, str(tmp_path / "out" / f"package={name}"))
+        assert got == expected, [(a, b) for x, y in zip(got, expected, strict=False) for a, b in zip(x, y, strict=False) if a != b]
+
+
+def test_counts_equal_the_report_of_changes(spark, make):
+    from pyspark.sql import Observation
+
+    from gapwright.operators import fill
+
+    records = make("k string, sex string, n int", ("a", "U", None), ("b", "F", None), ("c", None, 1), ("d", "U", None), (None, "M", None))
+    external = make("k string, sex string, note string, n int", ("a", "M", "x", 2), ("b", "M", "y", 3), ("c", "F", "z", 9), ("e", "U", "w", 4), ("d", "U", "v", None), ("d", "F", "u", 5))
+    link, seen = fill.Linked("sex", "note", "U"), Observation("fill")
+    done = fill.fill_missing(records, external, ["k"], ["n"], linked=link, unlisted="keep", keep_old="old", counted=True)
+    counted = fill.observed_counts(done, seen)
+    got = counted.collect()
+    changes = fill.change_report(done, ["k"], "old", "sex").count()
+    assert seen.get == {"rows": 7, "unlisted": 1, "unmatched": 1, "repeated": 2, "gained": 4, "changed": changes}
+    assert len(got) == 7 and changes == 4
+
+
+def test_an_empty_table_fails_in_the_job_that_reads_it(make):
+    from gapwright.operators.shape import must_have_rows
+
+    table = make("a string, b int", ("x", 1))
+    assert rows(must_have_rows(table, "nothing here")) == [("x", 1)]
+    with pytest.raises(Exception, match="nothing here"):
+        must_have_rows(table.where("b > 5"), "nothing here").write.format("noop").mode("overwrite").save()

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 from tests.helpers import rows
 
-from gapwright.operators import fill, joins, shape
+from gapwright.functions import aggregates as A
+from gapwright.operators import fill, joins, lists, shape
 
 
 def test_resolve_grain_falls_back_to_the_own_key(make):
@@ -168,3 +169,33 @@ def test_normalize_missing(make):
     df = make("s string, d double", ("NA", float("nan")), ("N/A", 1.0), ("n/a", None), ("", 2.0))
     got = rows(shape.normalize_missing(df, ["", "N/A", "NA"]))
     assert got == sorted([(None, None), (None, 1.0), ("n/a", None), (None, 2.0)], key=repr)
+
+
+@pytest.mark.parametrize("groups", ["small", "placed", "any"])
+def test_lists_of_groups_without_places(make, groups):
+    """A third of all rows without a place, a third at one place; all three plans agree."""
+    import random
+
+    rng = random.Random(4)
+    data = [(rng.choice("hhhab"), rng.choice([None, 7, rng.randrange(1000)]), rng.choice([None, "x", "y", f"v{i}"]), i) for i in range(900)]
+    df = make("k string, o int, v string, u int", *data)
+    got = lists.ordered_lists(
+        df, ["k"], {"all": F.col("v"), "some": F.col("u").cast("string")}, ["o"], {"n": A.staged_count("n")},
+        where={"some": F.col("u") % 2 == 0}, groups=groups, **({"chunk_rows": 16} if groups == "any" else {}),
+    )
+    for row in got.collect():
+        mine = [(o is not None, o or 0, "NA" if v is None else v, u) for k, o, v, u in data if k == row.k]
+        assert row.all == ";".join(v for _, _, v, _ in sorted(mine, key=lambda e: e[:3]))
+        assert row.some == ";".join(str(u) for _, _, u in sorted((a, b, str(u)) for a, b, _, u in mine if u % 2 == 0))
+        assert row.n == len(mine)
+
+
+def test_chunks_are_bounded_by_rows(make, spark):
+    df = spark.range(0, 5000, 1, 7).select(F.lit("hot").alias("k"), F.lit(None).cast("int").alias("o"), F.col("id"))
+    chunked = lists.consecutive_chunks(df, ["k", "o", "id"], 64)
+    sizes = [r["count"] for r in chunked.groupBy("_chunk").count().collect()]
+    assert max(sizes) <= 64 and sum(sizes) == 5000
+    ends = chunked.groupBy("_chunk").agg(F.min("id").alias("a"), F.max("id").alias("b")).orderBy("_chunk").collect()
+    assert all(x.b < y.a for x, y in zip(ends, ends[1:]))
+    with pytest.raises(ValueError, match="power of two"):
+        lists.consecutive_chunks(df, ["k"], 100)

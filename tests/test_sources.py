@@ -103,3 +103,21 @@ def test_rows_are_numbered_over_files_and_splits(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert got == sorted((f"{name}.tsv", i, f"{name}{i}") for name, n in (("a", 500), ("b", 1), ("d", 300)) for i in range(n))
+
+
+def test_a_failed_write_leaves_the_old_output(table, tmp_path, spark):
+    out = tmp_path / "out"
+    delimited.write_records(table, str(out))
+    failing = spark.range(0, 1000, 1, 4).select(
+        F.col("id").cast("string").alias("a"), F.when(F.col("id") == 900, F.raise_error(F.lit("half way"))).cast("int").alias("b")
+    )
+    with pytest.raises(Exception, match="half way"):
+        delimited.write_records(failing, str(out), overwrite=True)
+    back, _ = delimited.scan(spark, str(out), ["n/a"], codes="ci")
+    assert rows(back, "a", "b") == rows(table)
+    with pytest.raises(Exception, match="half way"):
+        delimited.write_records(failing, str(tmp_path / "new"))
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]  # nothing staged is left, nothing new is there
+    delimited.write_records(table.limit(1), str(out), overwrite=True)
+    assert delimited.scan(spark, str(out), ["n/a"])[0].count() == 1
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
