@@ -20,6 +20,7 @@ from gapwright.plans import presets as P  # noqa: E402
 from gapwright.plans import run_facts, sheet  # noqa: E402
 from gapwright.suite.oracle import ORACLE  # noqa: E402
 from gapwright.suite.queries import QUERIES  # noqa: E402
+from gapwright.suite.views import view  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -134,9 +135,10 @@ def test_individuals_are_filtered_before_the_chain(spark, large_tables):
     assert plan.index("LeftSemi") > max(m.start() for m in re.finditer("LeftOuter", plan))
 
 
-def test_scalar_facets_are_hash_aggregated(spark, large_tables):
-    plan = static_plan(QUERIES["facets_endogenous"](spark, SMALL))
-    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan.split("LeftOuter")[1].split("LeftOuter")[0].split("HashAggregate")[0]
+def test_parts_of_qc_rows_are_hash_aggregated(spark, large_tables):
+    stats = view(spark, SMALL, "v_stats")
+    plan = static_plan(run_facts.stats_parts(stats, ["stat_ord"], 100, key="sample_key"))
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan and "HashAggregate" in plan
 
 
 def test_filter_and_columns_reach_the_scan(spark, tmp_path):
