@@ -36,11 +36,14 @@ def field_of(df: DataFrame, name: str) -> T.StructField:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a folder of our own only where none is named (tests)."""
+    """The shared folder the cluster names; a folder of our own only where none is named on a local master (tests)."""
     context = spark.sparkContext
     where = context.getCheckpointDir()
     if where is None:
-        where = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gapwright-")
+        where = spark.conf.get("spark.checkpoint.dir", None)
+        if where is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
+        where = where or tempfile.mkdtemp(prefix="gapwright-")
         context.setCheckpointDir(where)
     return where
 
