@@ -127,38 +127,23 @@ def staged_max_strict(name: str, col: Column) -> Staged:
     return Staged({top: col, gap: col.isNull()}, {top: F.max, gap: F.max}, lambda m: F.when(~m[gap], m[top]))
 
 
-#: Types in which a measure below 1,000 and a whole weight are multiplied exactly enough for any order of summation.
-MEASURE, WEIGHT = "decimal(21,18)", "decimal(16,0)"
-
-
-def product(x: Column, w: Column) -> Column:
-    """Measure times weight as a decimal; missing where either does not fit."""
-    return x.try_cast(MEASURE) * w.try_cast(WEIGHT)
-
-
-def does_not_fit(x: Column, w: Column) -> Column:
-    """Whether a pair that counts has no decimal product."""
-    fits = x.try_cast(MEASURE).isNotNull() & F.coalesce(w.try_cast(WEIGHT).cast("double") == w.cast("double"), F.lit(False))
-    return x.isNotNull() & w.isNotNull() & ~fits
-
-
-def ratio_of(products: Column, weighted: Column, weight: Column, odd: Column) -> Column:
-    """The mean from the sum of decimal products, which no order of rows changes; from doubles where one did not fit."""
-    exact = F.try_divide(products, F.nullif(weight.cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))).cast("double")
-    return F.when(odd | products.isNull(), _ratio(weighted, weight)).otherwise(exact)
+def mean_of(weighted: Column, weight: Column, low: Column, high: Column) -> Column:
+    """The mean from its sums; that of equal measures is the measure, which no rounding of sums may change."""
+    ratio = _ratio(weighted, weight)
+    return F.when(ratio.isNotNull() & (low == high), low.cast("double")).otherwise(ratio)
 
 
 def staged_weighted_mean(name: str, x: Column, w: Column, pairwise: bool = False, exact: bool = False) -> Staged:
-    """`weighted_mean`, or its pairwise form, in steps. `exact` sums decimal products, see `ratio_of`."""
-    xw, ww, bad, dw, odd = f"{name}_xw", f"{name}_w", f"{name}_bad", f"{name}_products", f"{name}_odd"
+    """`weighted_mean`, or its pairwise form, in steps. With `exact`, equal measures have themselves as mean."""
+    xw, ww, bad, low, high = (f"{name}_{part}" for part in ("xw", "w", "bad", "low", "high"))
     rows = {xw: x * w, ww: F.when(x.isNotNull(), w)}
     merge: dict[str, Callable[[Column], Column]] = {xw: F.sum, ww: F.sum}
     if exact:
-        rows |= {dw: product(x, w), odd: does_not_fit(x, w)}
-        merge |= {dw: F.try_sum, odd: F.max}
+        rows |= {low: F.when(w.isNotNull(), x), high: F.when(w.isNotNull(), x)}
+        merge |= {low: F.min, high: F.max}
 
     def mean(m: dict[str, Column]) -> Column:
-        return ratio_of(m[dw], m[xw], m[ww], m[odd]) if exact else _ratio(m[xw], m[ww])
+        return mean_of(m[xw], m[ww], m[low], m[high]) if exact else _ratio(m[xw], m[ww])
 
     if pairwise:
         return Staged(rows, merge, mean)
