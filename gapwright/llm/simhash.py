@@ -232,9 +232,9 @@ def close_links(prints: DataFrame, radius: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def component_ids(prints: DataFrame, radius: int) -> DataFrame:
-    """`prints` (doc_id, fingerprint, ...) with component_id: the smallest id that links of at most `radius` bits reach."""
-    classes = cut_table(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
+def component_ids(prints: DataFrame, radius: int, name: Column) -> DataFrame:
+    """`prints` (doc_id, fingerprint, ...) with component_id: the smallest `name` that links of at most `radius` bits reach."""
+    classes = cut_table(prints.groupBy("fingerprint").agg(F.min(name).alias("first_id")))
     roots = components(close_links(classes, radius)).select(F.col("node").alias("fingerprint"), "root")
     grouped = classes.join(roots, "fingerprint")
     firsts = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
@@ -247,7 +247,7 @@ def component_ids(prints: DataFrame, radius: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id): the smallest id that links of at most `radius` bits reach."""
     prints = cut_table(fingerprints(docs, shingle, id_col, text_col))
-    return component_ids(prints, radius).select("doc_id", "fingerprint", "component_id")
+    return component_ids(prints, radius, F.col("doc_id")).select("doc_id", "fingerprint", "component_id")
 
 
 def text_tag(text: Column) -> Column:
@@ -256,11 +256,25 @@ def text_tag(text: Column) -> Column:
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of the smallest id of each component, all columns as they came; rows without an id stay.
+    """One row of each component, all columns as they came: that of the smallest id, rows without an id last.
 
-    Each row is judged by its own text: of an id that several texts have, only the texts go that a smaller id has.
+    A row is known by its id and its own text; of texts with one id that of the smallest SHA-256 stays, a missing
+    text first. Of rows that are equal in both any one stays.
     """
     prints = cut_table(fingerprints(docs, shingle, id_col, text_col, tagged=True))
-    found = component_ids(prints, radius)
-    others = found.where("doc_id <> component_id").select(F.col("doc_id").alias("other_id"), F.col("tag").alias("other_tag")).distinct()
-    return docs.join(others, (docs[id_col] == F.col("other_id")) & (text_tag(docs[text_col]) == F.col("other_tag")), "left_anti")
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "tag")
+    found = component_ids(prints, radius, row)
+    kinds = found.groupBy("doc_id", "tag", row.eqNullSafe(F.col("component_id")).alias("first")).agg(F.count("*").alias("rows"))
+    # what goes (all rows of an id and text), and what stays once although it comes several times
+    kinds = cut_table(kinds.where("not first or rows > 1").select(F.col("doc_id").alias("_key_id"), F.col("tag").alias("_key_tag"), "first"))
+    repeated = kinds.where("first").drop("first")
+    # by place, so that no column of the input can clash
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    own_id, own_text = (F.col(f"c{docs.columns.index(c)}") for c in (id_col, text_col))
+    same = own_id.eqNullSafe(F.col("_key_id")) & (text_tag(own_text) == F.col("_key_tag"))
+    kept = plain.join(kinds.drop("first"), same, "left_anti")
+    if not repeated.isEmpty():
+        # rows of a key are reduced to one before they are shuffled
+        again = plain.join(repeated, same).dropDuplicates(["_key_id", "_key_tag"]).select(plain.columns)
+        kept = kept.unionByName(again)
+    return kept.toDF(*docs.columns)

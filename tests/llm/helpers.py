@@ -7,7 +7,7 @@ import re
 SF = "/root/testdata/sf0.001"
 
 #: Column names that operators use inside; inputs that carry them must make no difference.
-CLASHES = ["tag", "body", "row", "words", "key", "place", "range", "n", "hits", "count", "fingerprint", "component_id", "ids", "spans"]
+CLASHES = ["tag", "body", "row", "words", "key", "place", "range", "n", "hits", "count", "fingerprint", "component_id", "ids", "spans", "other_id", "other_tag", "root", "other", "c0", "_key_id"]
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
