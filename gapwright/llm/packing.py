@@ -6,6 +6,10 @@ its border, and its batches hold as many pieces as the token budget allows (one
 numbered within their bucket over hashed shards, each numbered on its own from the count of those before,
 so that a bucket of any size is dealt to many tasks and only its last batch may be short.
 
+The texts are split into words once for their lengths, which are kept in a table with equal rows (of one id and
+text) counted together. So equal rows take one place in the numbering, however many they are, and are dealt to
+their batches afterwards, some at a time.
+
 Missing texts are empty. A text without a word is one piece of no words, in no bucket and no batch. Repeated
 rows are packed each; missing ids are packed like others. Other columns are ignored.
 """
@@ -13,15 +17,18 @@ rows are packed each; missing ids are packed like others. Other columns are igno
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from gapwright.llm.common import ascii_words, id_and_text
+from gapwright.llm.common import ascii_words, cut_table, id_and_text
 
 #: Pieces that one task numbers, on average.
 ROWS_A_SHARD = 20_000
 
+#: Equal pieces that are dealt to their batches at a time.
+COPIES_AT_ONCE = 10_000
+
 
 def optimal_borders(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     """Borders (lengths that occur, the greatest last) of at most `buckets` buckets that pad least.
@@ -55,49 +62,85 @@ def optimal_borders(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> li
     return borders[::-1]
 
 
-def pieces(docs: DataFrame, longest: int, id_col: str, text_col: str, with_text: bool) -> DataFrame:
+def lengths_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, tag, n, copies): the words of each text; rows of one id and text are counted together."""
     rows = id_and_text(docs, id_col, text_col)
-    rows = rows.select("doc_id", F.xxhash64("text").alias("tag"), ascii_words(F.col("text")).alias("words"))
-    rows = rows.select("doc_id", "tag", "words", F.size("words").cast("long").alias("n"))
+    rows = rows.select("doc_id", text_tag(), F.size(ascii_words(F.col("text"))).cast("long").alias("n"))
+    return rows.groupBy("doc_id", "tag", "n").agg(F.count("*").alias("copies"))
+
+
+def text_tag() -> Column:
+    return F.coalesce(F.md5("text"), F.lit("")).alias("tag")
+
+
+def pieces(lengths: DataFrame, longest: int) -> DataFrame:
+    """Texts of `n` words cut into (piece, start, n_tokens); other columns stay."""
     last = F.greatest(F.ceil(F.col("n") / longest).cast("int") - 1, F.lit(0))
-    rows = rows.select("doc_id", "tag", *(["words"] if with_text else []), "n", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
+    rows = lengths.select("*", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
     rows = rows.withColumn("start", F.col("piece").cast("long") * longest)
-    rows = rows.withColumn("n_tokens", F.least(F.col("n") - F.col("start"), F.lit(longest).cast("long")))
-    text = [F.array_join(F.slice("words", F.col("start").cast("int") + 1, F.col("n_tokens").cast("int")), " ").alias("text")] if with_text else []
-    return rows.select("doc_id", "tag", "piece", "start", "n_tokens", *text)
+    return rows.withColumn("n_tokens", F.least(F.col("n") - F.col("start"), F.lit(longest).cast("long"))).drop("n")
+
+
+def piece_texts(docs: DataFrame, longest: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, tag, piece, text) of texts with a word."""
+    rows = id_and_text(docs, id_col, text_col)
+    rows = rows.select("doc_id", text_tag(), ascii_words(F.col("text")).alias("words"))
+    cut = pieces(rows.withColumn("n", F.size("words").cast("long")).where("n > 0"), longest)
+    text = F.array_join(F.slice("words", F.col("start").cast("int") + 1, F.col("n_tokens").cast("int")), " ")
+    return cut.select("doc_id", "tag", "piece", text.alias("text"))
+
+
+def copies_of(rows: DataFrame) -> DataFrame:
+    """A row for each of a row's `copies`, with its number `copy`; many equal rows are dealt to several tasks."""
+    runs = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES_AT_ONCE).cast("long"))).alias("from_copy"))
+    dealt = runs.repartition("doc_id", "tag", "piece", "from_copy")
+    last = F.least(F.col("copies"), F.col("from_copy") + COPIES_AT_ONCE) - 1
+    return dealt.select("*", F.explode(F.sequence("from_copy", last)).alias("copy")).drop("from_copy")
 
 
 def pack(docs: DataFrame, longest: int = 2048, buckets: int = 16, budget: int = 65_536, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """(doc_id, piece, start, n_tokens, bucket, pad_to, batch, slot[, text]) of every piece."""
-    histogram = pieces(docs, longest, id_col, text_col, False).groupBy("n_tokens").count()
+    every = cut_table(lengths_of(docs, id_col, text_col))
+    rows = pieces(every, longest)
     # at most `longest` + 1 rows
-    found = sorted((r["n_tokens"], r["count"]) for r in histogram.collect() if r["n_tokens"])
+    found = sorted((r["n_tokens"], r["count"]) for r in rows.groupBy("n_tokens").agg(F.sum("copies").alias("count")).collect() if r["n_tokens"])
     lengths, counts = (np.asarray(x, np.int64) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
     borders = optimal_borders(lengths, counts, buckets)
-    rows = pieces(docs, longest, id_col, text_col, with_text)
-    text = ["text"] if with_text else []
+    none = lambda kind: F.lit(None).cast(kind)
+    columns = ["doc_id", "piece", "start", "n_tokens", "bucket", "pad_to", "batch", "slot", *(["text"] if with_text else [])]
+    wordless = copies_of(rows.where("n_tokens = 0")).select("*", none("int").alias("bucket"), *[none("long").alias(c) for c in ("pad_to", "batch", "slot")], F.lit("").alias("text"))
     if not borders:
-        none = lambda kind: F.lit(None).cast(kind)
-        return rows.select("doc_id", "piece", "start", "n_tokens", none("int").alias("bucket"), none("long").alias("pad_to"), none("long").alias("batch"), none("long").alias("slot"), *text)
+        return wordless.select(columns)
     which = np.searchsorted(borders, lengths)
     sizes = np.bincount(which, counts, len(borders)).astype(np.int64)
     holds = np.maximum(1, budget // np.asarray(borders))
     first = np.concatenate([[0], np.cumsum(-(-sizes // holds))])
     shards = int(-(-sizes.sum() // ROWS_A_SHARD))
     of_bucket = lambda values: F.get(F.array(*[F.lit(int(v)).cast("long") for v in values]), F.col("bucket"))
-    border = F.array(*[F.lit(b) for b in borders])
-    bucket = F.when(F.col("n_tokens") > 0, F.size(F.filter(border, lambda b: b < F.col("n_tokens"))))
-    rows = rows.select("*", bucket.alias("bucket"), F.pmod(F.xxhash64("doc_id", "piece", "tag"), F.lit(shards)).alias("shard"))
-    numbered = rows.withColumn("number", F.row_number().over(W.partitionBy("bucket", "shard").orderBy("doc_id", "piece", "tag")))
-    in_shard = rows.groupBy("bucket", "shard").count()
+    bucket = F.size(F.filter(F.array(*[F.lit(b) for b in borders]), lambda b: b < F.col("n_tokens")))
+    rows = rows.where("n_tokens > 0").select("*", bucket.alias("bucket"), F.pmod(F.xxhash64("doc_id", "piece", "tag"), F.lit(shards)).alias("shard"))
+    before = F.sum("copies").over(W.partitionBy("bucket", "shard").orderBy("doc_id", "piece", "tag").rowsBetween(W.unboundedPreceding, -1))
+    numbered = rows.withColumn("number", F.coalesce(before, F.lit(0)))
     # one row for each bucket and shard
+    in_shard = rows.groupBy("bucket", "shard").agg(F.sum("copies").alias("count"))
     earlier = F.sum("count").over(W.partitionBy("bucket").orderBy("shard").rowsBetween(W.unboundedPreceding, -1))
-    offsets = in_shard.select("bucket", "shard", F.coalesce(earlier, F.lit(0)).alias("offset")).where("bucket is not null")
-    placed = numbered.join(offsets, ["bucket", "shard"], "left").withColumn("place", F.col("number") - 1 + F.col("offset"))
-    return placed.select(
-        *["doc_id", "piece", "start", "n_tokens", "bucket"],
+    offsets = in_shard.select("bucket", "shard", F.coalesce(earlier, F.lit(0)).alias("offset"))
+    placed = copies_of(numbered.join(offsets, ["bucket", "shard"])).withColumn("place", F.col("number") + F.col("copy") + F.col("offset"))
+    placed = placed.select(
+        "*",
         of_bucket(borders).alias("pad_to"),
         (of_bucket(first[:-1]) + F.floor(F.col("place") / of_bucket(holds)).cast("long")).alias("batch"),
         (F.col("place") % of_bucket(holds)).alias("slot"),
-        *text,
     )
+    if with_text:
+        texts = piece_texts(docs, longest, id_col, text_col)
+        texts = texts.select(F.col("doc_id").alias("of_id"), F.col("tag").alias("of_tag"), F.col("piece").alias("of_piece"), "text")
+        own = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("tag") == F.col("of_tag")) & (F.col("piece") == F.col("of_piece"))
+        met = placed.where("copies = 1").join(texts, own)
+        again = every.where("n > 0 and copies > 1").select(F.col("doc_id").alias("again_id"), F.col("tag").alias("again_tag"))
+        if not again.isEmpty():
+            # a text of equal rows is reduced to one before it meets their places
+            some = texts.join(again, F.col("of_id").eqNullSafe(F.col("again_id")) & (F.col("of_tag") == F.col("again_tag")), "left_semi")
+            met = met.unionByName(placed.where("copies > 1").join(some.dropDuplicates(["of_id", "of_tag", "of_piece"]), own))
+        placed = met
+    return placed.select(columns).unionByName(wordless.select(columns))

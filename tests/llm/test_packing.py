@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 
@@ -69,6 +69,22 @@ def test_pieces_carry_their_text(spark):
     assert sorted((r.doc_id, r.piece, r.text) for r in found) == [(1, 0, "a b"), (1, 1, "c d"), (1, 2, "e"), (2, 0, "x")]
 
 
+def test_many_equal_rows_fill_batches_like_others(spark, monkeypatch):
+    monkeypatch.setattr(packing, "ROWS_A_SHARD", 20)
+    monkeypatch.setattr(packing, "COPIES_AT_ONCE", 7)
+    rows = [(None, "a b c d e", None, None, None)] * 90 + [(5, "x y", None, None, None)] * 3 + [(i, "z " * (i % 9), None, None, None) for i in range(90)] + [(None, " ", None, None, None)] * 40
+    found = packing.pack(frame(spark, rows), longest=4, buckets=3, budget=16, with_text=True).collect()
+    assert Counter((r.doc_id, r.text) for r in found) == Counter((i, " ".join(words(t)[at : at + 4])) for i, t, *_ in rows for at in range(0, max(1, len(words(t))), 4))
+    batches = defaultdict(list)
+    for r in found:
+        if r.n_tokens:
+            batches[r.batch, r.pad_to].append(r.slot)
+            assert r.n_tokens == len(words(r.text)) <= r.pad_to
+    short = Counter(pad for (_, pad), slots in batches.items() if len(slots) < 16 // pad)
+    assert all(sorted(slots) == [*range(len(slots))] for slots in batches.values()) and max(short.values(), default=0) <= 1
+    assert sorted(b for b, _ in batches) == [*range(len(batches))]
+
+
 def test_odd_rows_and_empty_table(spark):
     rows = odd_rows(300)
     found = packing.pack(frame(spark, rows, clash=True), longest=128).collect()
