@@ -41,6 +41,13 @@ SAMPLE_CHARS = 50_000
 #: Natural log of the odds that a run is ordinary.
 PRIOR = 12.0
 
+#: Ratio a pair of characters that a secret has on average: what long names, paths and compounds gather in sum,
+#: random strings gather pair by pair.
+A_PAIR = 1.7
+
+#: Formats of public identifiers that are random or numeric by nature, UUIDs and times.
+PUBLIC = r"^(?:[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|[12][0-9]{3}-[01][0-9]-[0-3][0-9][T_-][0-9-]+Z?(?:[_-][a-z]+)*)$"
+
 
 def cuts(text: Column, pattern: str) -> Column:
     """Where a pattern matches: lengths of the pieces between matches, of the matches and of their group 1."""
@@ -148,7 +155,7 @@ def scan(docs: DataFrame, prior: float = PRIOR, id_col: str = "doc_id", text_col
         codes = _codes(run)
         gain = lambda state, code: F.struct(code.alias("last"), (state["sum"] + F.when(state["last"] >= 0, F.get(table, state["last"] * size + code)).otherwise(0.0)).alias("sum"))
         ratio = F.aggregate(codes, F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum")), gain, lambda state: state["sum"])
-        return run.rlike("[A-Za-z]") & (ratio > prior)
+        return run.rlike("[A-Za-z]") & ~run.rlike(PUBLIC) & (ratio > F.greatest(F.lit(prior), A_PAIR * (F.length(run) - 1)))
 
     rows = rows.select(*kept, "cut", F.transform("runs", secret).alias("judged"))
     rows = rows.select(*kept, "judged", spans_of(F.col("cut"), len(PATTERNS), 0).alias("runs"))

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import uuid
 
 import pytest
 
@@ -75,6 +76,21 @@ def test_random_strings_are_found_and_names_are_not(spark):
     assert sum(bool(v) for i, v in hit.items() if i < 10_000) <= 2
 
 
+def test_uuids_paths_and_compounds_are_no_secrets(spark):
+    rng = random.Random(9)
+    names = """org/apache/hadoop/mapreduce/InputFormat Donaudampfschifffahrtsgesellschaftskapitaen node_modules/webpack/lib/Compilation
+        src/main/java/com/example/project/AbstractFactoryBean Rindfleischetikettierungsueberwachungsaufgabenuebertragungsgesetz
+        pneumonoultramicroscopicsilicovolcanoconiosis application/vnd_openxmlformats-officedocument electroencefalografista
+        2024-01-15T12-34-56Z-backup MAX_CONNECTION_TIMEOUT_SECONDS home/user/projects/backend/tests/test_api""".split()
+    names += [str(uuid.UUID(int=rng.getrandbits(128))) for _ in range(30)] + [str(uuid.UUID(int=rng.getrandbits(128))).upper() for _ in range(10)]
+    small = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(28)) for _ in range(100)]
+    extra = [(10_000 + i, f"Word {s} and that.") for i, s in enumerate(small)] + [(20_000 + i, f"Word {s} and id={s}.") for i, s in enumerate(names)]
+    docs = documents(spark).select("doc_id", "text").union(spark.createDataFrame(extra, "doc_id long, text string"))
+    hit = {r.doc_id: [r.text[s.start : s.end] for s in r.spans if s.kind == 3] for r in secrets.scan(docs).collect()}
+    assert not [names[i] for i in range(len(names)) if hit[20_000 + i]]
+    assert sum(hit[10_000 + i] == [s] for i, s in enumerate(small)) >= 0.9 * len(small)
+
+
 def test_values_after_an_equals_sign_are_judged(spark):
     forms = ["AWS_KEY={}", "export SERVICE_ACCOUNT_CREDENTIAL_ID={} # set", "https://x.org/a?sig={}&x=1", "k='{}'", 'k="{}"', "k: {}"]
     values = unseen()[:100]
