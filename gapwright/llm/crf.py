@@ -10,6 +10,9 @@ The model is fitted on a bounded sample: at most `rows_per_language` labelled ro
 once. Their words are dealt into code-switched training lines, so that staying and switching are both learned. Everything else
 covers all rows and whole texts. Prediction sees the text only.
 
+A conditional model spreads its probability over the languages it knows, so a text in none of them has one too.
+Against that stands a background: the share of a text's letter 3-grams that occur in the training words.
+
 Missing texts and texts without a letter are `und` with score 0, and so is everything if no row is labelled.
 Repeated rows and missing ids are treated like others. Other columns are ignored.
 """
@@ -35,6 +38,12 @@ UNKNOWN = "und"
 TABLE_WORDS = 250_000
 LABEL_CHARS = 3_000_000
 
+#: Where the slots of 3-grams begin, in parts of a table.
+BACKGROUND = 2
+
+#: A text of fewer 3-grams is not held against the background.
+LEAST_GRAMS = 60
+
 _WORDS = re.compile(r"[^\W\d_]+").findall
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -42,6 +51,8 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 @dataclass(frozen=True)
 class Settings:
     rows_per_language: int = 150
+    #: Languages that are learnt, at most: those of most rows, ties by name. Rows of others teach nothing.
+    most_languages: int = 100
     longest: int = 50_000
     #: Training words of a line, mean length of a run in one language, passes over all lines.
     line: int = 64
@@ -88,6 +99,14 @@ class Crf:
     weights: np.ndarray
     transitions: np.ndarray
     first: np.ndarray
+    #: Which slots of 3-grams the training words have.
+    seen: np.ndarray
+
+    def background(self, slots: np.ndarray, owners: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Number of 3-grams of each of n words, and of those that training words have."""
+        slots = slots - BACKGROUND * self.settings.slots
+        inside = (slots >= 0) & (slots < self.settings.slots)
+        return np.bincount(owners[inside], minlength=n), np.bincount(owners[inside], self.seen[slots[inside]], n)
 
     def scores(self, slots: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
         """Score of each language for each of n words."""
@@ -131,7 +150,7 @@ def fit(samples: list[tuple[str, str]], settings: Settings = Settings()) -> Crf:
     """Learn from (language, text) rows."""
     languages = sorted({lang for lang, _ in samples})
     k = len(languages)
-    model = Crf(settings, languages, np.zeros(((settings.longest_ngram + 1) * settings.slots, k)), np.zeros((k, k)), np.zeros(k))
+    model = Crf(settings, languages, np.zeros(((settings.longest_ngram + 1) * settings.slots, k)), np.zeros((k, k)), np.zeros(k), np.zeros(settings.slots, bool))
     rng = np.random.default_rng(7)
     index: dict[str, int] = {}
     runs = []
@@ -151,6 +170,8 @@ def fit(samples: list[tuple[str, str]], settings: Settings = Settings()) -> Crf:
     lengths[-1] = len(line) - settings.line * (len(lengths) - 1)
     starts = np.cumsum(lengths) - lengths
     slots, owners = feature_slots([*index], settings)
+    of_grams = slots[slots // settings.slots == BACKGROUND] % settings.slots
+    model.seen[of_grams] = True
     inside = np.ones(len(line), bool)
     inside[starts] = False
     inner = np.flatnonzero(inside)
@@ -189,7 +210,8 @@ def sample(docs: DataFrame, learn: Column, settings: Settings, id_col: str, text
     """
     rows = docs.where(learn & docs[lang_col].isNotNull() & docs[text_col].isNotNull() & (F.length(docs[text_col]) <= settings.longest))
     rows = rows.select(docs[lang_col].cast("string").alias("lang"), F.xxhash64(docs[id_col].cast("string"), docs[text_col].cast("string")).alias("place"), docs[text_col].cast("string").alias("text"))
-    n = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")).collect()}
+    common = rows.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")).orderBy(F.desc("n"), "lang").limit(settings.most_languages)
+    n = {r["lang"]: r["n"] for r in common.collect()}
     if not n:
         return []
     # twice the distinct rows wanted lie below a language's border, on average; the smallest of them are taken
@@ -216,20 +238,24 @@ class Labeller:
         self.table: dict[str, int] = {}
         self.scores = np.zeros((0, len(self.model.languages)))
         self.letters = np.zeros(0, bool)
+        self.grams = np.zeros((2, 0))
 
-    def label(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-        """Language, score, words and switches of each text."""
+    def label(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Language, score, words, switches, 3-grams and the share of these that is familiar, of each text."""
         model = self.model
         split = [words_of(t) for t in texts] if model.languages else [[] for _ in texts]
         if len(self.table) > TABLE_WORDS:
             self.forget()
         if new := [*{w for words in split for w in words} - self.table.keys()]:
             self.table.update(zip(new, range(len(self.table), len(self.table) + len(new))))
-            self.scores = np.concatenate([self.scores, model.scores(*feature_slots(new, model.settings), len(new))])
+            features = *feature_slots(new, model.settings), len(new)
+            self.scores = np.concatenate([self.scores, model.scores(*features)])
+            self.grams = np.concatenate([self.grams, np.stack(model.background(*features))], axis=1)
             self.letters = np.concatenate([self.letters, np.fromiter((any(map(str.isalpha, w)) for w in new), bool, len(new))])
         n = np.fromiter(map(len, split), np.int64, len(split))
         line = np.fromiter(map(self.table.__getitem__, chain.from_iterable(split)), np.int64, int(n.sum()))
         langs, means, switches = [UNKNOWN] * len(n), np.zeros(len(n)), np.zeros(len(n), np.int64)
+        grams, familiar = np.zeros(len(n), np.int64), np.zeros(len(n))
         some = np.flatnonzero(n)
         if len(some):
             begins = (np.cumsum(n) - n)[some]
@@ -239,17 +265,22 @@ class Labeller:
             change = np.concatenate([[0], likely[1:] != likely[:-1]]).astype(np.int64)
             change[begins] = 0
             switches[some] = np.add.reduceat(change, begins)
+            both = np.add.reduceat(self.grams[:, line], begins, axis=1)
+            grams[some], familiar[some] = both[0], both[1] / np.maximum(both[0], 1)
             lettered = np.add.reduceat(self.letters[line].astype(np.int64), begins) > 0
             for i, best, value, ok in zip(some.tolist(), mean.argmax(1).tolist(), mean.max(1).tolist(), lettered.tolist()):
                 if ok:
                     langs[i], means[i] = model.languages[best], min(value, 1.0)
-        return langs, means, n, switches
+        return langs, means, n, switches, grams, familiar
 
 
 def predict(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score, n_words, n_switches) of each whole text; switches: changes of the likeliest language."""
+    """(doc_id, lang_pred, score, n_words, n_switches, n_grams, familiar) of each whole text.
+
+    Switches: changes of the likeliest language. Familiar: the share of its 3-grams that training words have.
+    """
     rows = id_and_text(docs, id_col, text_col)
-    fields = [("lang_pred", T.StringType()), ("score", T.DoubleType()), ("n_words", T.LongType()), ("n_switches", T.LongType())]
+    fields = [("lang_pred", T.StringType()), ("score", T.DoubleType()), ("n_words", T.LongType()), ("n_switches", T.LongType()), ("n_grams", T.LongType()), ("familiar", T.DoubleType())]
     schema = T.StructType([field_of(rows, "doc_id"), *[T.StructField(n, t, False) for n, t in fields]])
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
@@ -263,15 +294,20 @@ def predict(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(run, schema)
 
 
-def keep_known(docs: DataFrame, model: Crf, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows, as they came, whose text has a language with a score of at least `least`."""
+def keep_known(docs: DataFrame, model: Crf, least: float = 0.5, familiar: float = 0.0, text_col: str = "text") -> DataFrame:
+    """The rows, as they came, whose text has a language with a score of at least `least`.
+
+    Of a text of `LEAST_GRAMS` 3-grams or more, at least the share `familiar` must occur in the training words, so that
+    letter junk and languages that were not learnt go.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         labeller = Labeller(shared.value)
         for batch in batches:
             for part, texts in chunks(batch, text_col, LABEL_CHARS):
-                langs, scores, *_ = labeller.label(texts)
-                yield part.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in zip(langs, scores.tolist())]))
+                langs, scores, _, _, grams, shares = labeller.label(texts)
+                strange = (grams >= LEAST_GRAMS) & (shares < familiar)
+                yield part.filter(pa.array([lang != UNKNOWN and ok for lang, ok in zip(langs, ((scores >= least) & ~strange).tolist())]))
 
     return docs.mapInArrow(run, docs.schema)

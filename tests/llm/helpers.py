@@ -12,6 +12,16 @@ CLASHES = ["tag", "body", "row", "words", "key", "place", "range", "n", "hits",
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+#: Texts in no language of the test tables, and letter junk.
+STRANGE = [
+    "Het was een koude avond in de stad en de mensen liepen snel naar huis, want niemand wilde lang buiten blijven terwijl de wind door de straten joeg en de regen tegen de ramen sloeg",
+    "Suomen kieli on yksi maailman kielistä, jota puhutaan pääasiassa Suomessa ja jonka sanat taipuvat monin tavoin, joten niiden oppiminen vaatii aikaa ja kärsivällisyyttä kaikilta",
+    "Вчера вечером мы пошли в театр и смотрели новую пьесу, которая всем очень понравилась, потому что актёры играли великолепно и музыка была прекрасна",
+    "Wczoraj wieczorem poszliśmy do teatru i oglądaliśmy nową sztukę, która wszystkim bardzo się podobała, ponieważ aktorzy grali wspaniale, a muzyka była przepiękna",
+    "xqzv wkjh pqrx zzkt vbnq wxcv qjkz hgfd sdfg lkjh qwrt zxcv bnmk plkj hgfq wsxc rfvt gbyh nujm ikol qazx swed cvfr tgbn hyuj mkiq",
+]
+
+
 def odd_rows(long_words: int = 3000) -> list[tuple]:
     """Nulls everywhere, blanks, ties, repeated rows and a long text."""
     texts = [None, "", " \t\n", "one", "one two", "the end of the story is near the end of the story", "é ß Σ İ 😀 中文 Привет", "word " * long_words, "a" * 5000, "12 34 !! --"]

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import itertools
+import math
+import re
 
 import numpy as np
 
 from gapwright.llm import crf
 from gapwright.llm.queries import op10_language
-from tests.llm.helpers import SF, documents, frame, odd_rows
+from tests.llm.helpers import SF, STRANGE, documents, frame, odd_rows
 
 
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(0)
-    model = crf.Crf(crf.Settings(slots=64), ["a", "b", "c"], np.zeros((320, 3)), rng.normal(size=(3, 3)), rng.normal(size=3))
+    model = crf.Crf(crf.Settings(slots=64), ["a", "b", "c"], np.zeros((320, 3)), rng.normal(size=(3, 3)), rng.normal(size=3), np.zeros(64, bool))
     lengths = np.array([3, 0, 5, 1])
     scores, pairs = rng.normal(size=(9, 3)), np.zeros((3, 3))
     found = model.marginals(scores, lengths, pairs)
@@ -43,6 +45,71 @@ def test_features_are_those_of_each_word_alone():
         assert sorted(slots[owners == i].tolist()) == sorted(alone.tolist())
 
 
+def plain_slots(word: str, settings: crf.Settings) -> list[int]:
+    """The features of a word, one n-gram after the other."""
+    whole, mix = 2**64, 0x9E3779B97F4A7C15
+    points = [2, *map(ord, word), 3]
+    out = []
+    for n in range(1, settings.longest_ngram + 1):
+        for at in range(len(points) - n + 1):
+            value = 0
+            for i in range(n):
+                value = (value + points[at + i] + i + 1) * mix % whole
+                value ^= value >> 29
+            out.append((value >> 20) % settings.slots + (n - 1) * settings.slots)
+    value = sum(p * pow(mix, i, whole) for i, p in enumerate(points, 1)) % whole
+    value ^= value >> 31
+    return [*out, (value >> 13) % settings.slots + settings.longest_ngram * settings.slots]
+
+
+def plain_prediction(text: str, model: crf.Crf) -> tuple[str, float, float]:
+    """Language, score and familiar share of a text by forward and backward sums, word by word."""
+    k = range(len(model.languages))
+    words = [w for w in re.split(r"[\W\d_]+", text.lower()) if w]
+    slots = [plain_slots(w, model.settings) for w in words]
+    emit = [[math.exp(sum(model.weights[s, y] for s in found)) for y in k] for found in slots]
+    step = [[math.exp(model.transitions[a, b]) for b in k] for a in k]
+    scaled = lambda values: [v / sum(values) for v in values]
+    ahead = [scaled([math.exp(model.first[y]) * emit[0][y] for y in k])]
+    for e in emit[1:]:
+        ahead.append(scaled([sum(ahead[-1][x] * step[x][y] for x in k) * e[y] for y in k]))
+    back = [[1.0 for _ in k]]
+    for e in emit[:0:-1]:
+        back.append(scaled([sum(step[x][y] * e[y] * back[-1][y] for y in k) for x in k]))
+    marginals = [scaled([a * b for a, b in zip(*both)]) for both in zip(ahead, back[::-1])]
+    means = [sum(m[y] for m in marginals) / len(words) for y in k]
+    grams = [s - 2 * model.settings.slots for found in slots for s in found if s // model.settings.slots == 2]
+    best = max(k, key=means.__getitem__)
+    return model.languages[best], means[best], sum(bool(model.seen[s]) for s in grams) / len(grams)
+
+
+def test_whole_documents_equal_a_plain_second_version(spark):
+    docs = documents(spark)
+    model = crf.train(docs, docs["lang"].isNotNull(), crf.Settings(passes=4, rows_per_language=20))
+    some = docs.where("n_chars < 1500 and text rlike '[A-Za-z]'").orderBy("doc_id").limit(25)
+    found = {r.doc_id: r for r in crf.predict(some, model).collect()}
+    assert len({r.lang_pred for r in found.values()}) > 1
+    for r in some.collect():
+        lang, score, familiar = plain_prediction(r.text, model)
+        assert found[r.doc_id].lang_pred == lang
+        assert abs(found[r.doc_id].score - score) < 1e-6 and abs(found[r.doc_id].familiar - familiar) < 1e-9
+
+
+def test_unlearnt_languages_and_junk_go(spark):
+    docs = documents(spark)
+    model = crf.train(docs, docs["lang"].isNotNull())
+    assert not crf.keep_known(frame(spark, [(i, t, None, None, None) for i, t in enumerate(STRANGE)]), model, 0.0, familiar=0.75).collect()
+    assert crf.keep_known(docs, model, 0.0, familiar=0.75).count() >= 0.99 * docs.count()
+
+
+def test_languages_of_many_labels_are_bounded(spark):
+    docs = documents(spark).select("doc_id", "text", "lang")
+    labels = spark.range(300).selectExpr("id", "'a few words'", "concat('x', id)")
+    more = docs.union(labels)
+    model = crf.train(more, more["lang"].isNotNull(), crf.Settings(most_languages=4, passes=1))
+    assert model.languages == ["de", "en", "es", "fr"]
+
+
 def test_languages_of_held_out_rows(spark):
     found = {r.doc_id: r for r in op10_language(spark, SF).collect()}
     truth = {r.doc_id: r.lang for r in documents(spark).collect()}
