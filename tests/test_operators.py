@@ -199,3 +199,18 @@ def test_chunks_are_bounded_by_rows(make, spark):
     assert all(x.b < y.a for x, y in zip(ends, ends[1:]))
     with pytest.raises(ValueError, match="power of two"):
         lists.consecutive_chunks(df, ["k"], 100)
+
+
+def test_no_row_holds_a_curve_and_its_bounds_are_those_of_all_points(spark):
+    """Bins of 32 years hold their own points only, however long the curve; steps count within and between bins and spans."""
+    from gapwright.operators.calibrate import curve_bins, curve_bounds
+
+    ages = [float(a) for a in range(0, 40_000, 3) if not 5_000 < a < 5_444] + [400_000.0, 400_001.5]
+    curves = {"A": ages, "B": [7.0]}
+    rows = [(c, i, a, 5.0 + i % 3) for c, listed in curves.items() for i, a in enumerate(listed)]
+    bins = curve_bins(spark.createDataFrame(rows, "curve string, cal_bp int, c14_age double, c14_sigma double"), 32)
+    assert max(len(r["points"]) for r in bins.collect()) == 11
+    got = {r["curve"]: (r["n"], r["finest"], r["widest"], r["low"], r["high"], r["gap"]) for r in curve_bounds(bins, 16).collect()}
+    assert got == {"A": (len(ages), 5.0, 7.0, 0.0, 400_001.5, 400_000.0 - 39_999.0), "B": (1, 5.0, 5.0, 7.0, 7.0, 0.0)}
+    some = spark.createDataFrame([r for r in rows if r[0] == "A" and r[2] < 20_000], "curve string, cal_bp int, c14_age double, c14_sigma double")
+    assert [r["gap"] for r in curve_bounds(curve_bins(some, 32), 16).collect()] == [5_445.0 - 4_998.0]
