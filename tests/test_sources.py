@@ -121,3 +121,37 @@ def test_a_failed_write_leaves_the_old_output(table, tmp_path, spark):
     delimited.write_records(table.limit(1), str(out), overwrite=True)
     assert delimited.scan(spark, str(out), ["n/a"])[0].count() == 1
     assert [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_pieces_of_a_file_are_numbered_through(spark, tmp_path):
+    """The files of a folder are one file, in order of their names; a split of any of them has its place."""
+    for folder, pieces in {"a": [40, 0, 25], "b": [7, 30]}.items():
+        (tmp_path / folder).mkdir()
+        at = 0
+        for i, n in enumerate(pieces):
+            (tmp_path / folder / f"part-{i:05d}.csv").write_text("k\tv\n" + "".join(f"{folder}\t{at + j}\n" for j in range(n)))
+            at += n
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        table, order = delimited.scan(spark, [str(tmp_path / "a"), str(tmp_path / "b")], pieces=True)
+        got = [(r["k"], int(r["v"]), r["_file"].rsplit("/", 1)[1], r["_line"]) for r in table.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert order == ["_file", "_line"] and len(got) == 102
+    assert all(k == folder and v == line for k, v, folder, line in got)
+
+
+def test_a_part_of_a_text_table_is_not_sorted_in_one_task(spark, tmp_path):
+    from gapwright.suite.queries import _text_files
+
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = _text_files(spark, spark.range(4000).withColumnRenamed("id", "n"), F.col("n") % 2, ["n"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    files = spark.read.text(path).select("part", "_metadata.file_path").distinct().groupBy("part").count().collect()
+    assert len(files) == 2 and all(r["count"] > 1 for r in files)
+    table, _ = delimited.scan(spark, path, pieces=True)
+    assert {int(r["n"]) - 2 * r["_line"] - int(r["part"]) for r in table.collect()} == {0}
