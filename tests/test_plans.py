@@ -111,6 +111,13 @@ def test_rollup_takes_few_more_shuffles_than_its_input(spark, large_tables):
     assert len(exchanges(final_plan(QUERIES["rollup_units"](spark, SMALL)))) <= 4
 
 
+def test_compile_moves_the_sheet_once_a_key_and_each_table_once(spark, large_tables):
+    plan = static_plan(QUERIES["compile_units"](spark, SMALL))
+    # sheet: BAM, library, sample; tables: BAM twice (once for the part without a key), four lists of libraries and
+    # samples, parts of the damage mean; and three that make the tables: damage rows, SNP counts, and their list
+    assert len(exchanges(plan)) <= 13
+
+
 def test_dates_are_calibrated_where_they_lie(spark, large_tables):
     """Above the join with the curve, no unfolded point is shuffled: the next shuffle is that of the results."""
     plan = static_plan(QUERIES["calibrate_batch"](spark, SMALL)).splitlines()
