@@ -100,6 +100,11 @@ def test_run_facts_of_any_groups_join_and_group_without_gathering(spark, large_t
     assert "FullOuter" not in plan
 
 
+def test_run_facts_of_any_groups_take_three_shuffles_without_frequent_names(spark, large_tables):
+    """Distinct libraries, both tables by name, samples; names were counted before."""
+    assert len(exchanges(final_plan(QUERIES["run_import_any"](spark, SMALL)))) == 3
+
+
 def test_lists_of_small_groups_take_one_shuffle(spark, large_tables):
     assert len(exchanges(final_plan(QUERIES["concat_ordered"](spark, SMALL)))) == 1
     # distinct libraries, then samples

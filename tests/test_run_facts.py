@@ -200,3 +200,59 @@ def test_packages_together_equal_packages_apart(make):
     assert rows(whole) == sorted(rows(apart[0]) + rows(apart[1]), key=repr)
     single = run_facts.import_run(sheets["a"], stats["a"], ["o"], ["so"])
     assert rows(apart[0].drop("package")) == rows(single)
+
+
+@pytest.mark.parametrize("most", [0, 9, 1000])
+def test_frequent_names_take_a_plan_of_their_own(make, most):
+    """However many names count as frequent, and whatever the samples share, the facts are those of small groups."""
+    rng = random.Random(5)
+    units = [*(f"S{i // 2}.{i}.{rng.choice(['SG', 'TF'])}1" for i in range(24)), "S3", "S5", "plainSG1", None]
+    sheet_rows = []
+    for i in range(90):
+        sample = rng.choice(["S0", "S0", "S1", "S2", "S3", "S4", "S5", "S6", "S7", "S8", "", None])
+        sheet_rows.append((i, sample, rng.choice(units), rng.choice(["single", "double"]), rng.choice(["none", "half", None]), None, None))
+    stats_rows = []
+    for so in rng.sample(range(1000), 110):
+        def maybe(choices):
+            return rng.choice([None, *choices])
+        key = rng.choice([units[0], *units, *(f"S{i}" for i in range(10)), "nobody", "nobody", ""])
+        stats_rows.append(stats_row(so, key, sexdet_rate_x=maybe([0.4, 0.8]), endogenous_dna=rng.choice([0.25, 0.5]), covered_snps=maybe([10, 20]), damage_5p1=maybe([0.5]),
+                                    x_contamination_snps=maybe([50, 150]), x_contamination=0.5, x_contamination_error=0.25, filtered_mapped_reads=rng.choice([1, 2, 4])))
+    want = facts(make, sheet_rows, stats_rows, groups="small")
+    assert want["S3"]["Nr_Libraries"] and any(w["Contamination_Note"] for w in want.values())
+    assert facts(make, sheet_rows, stats_rows, groups="any", most=most) == want
+    if most != 9:
+        return
+    tag = F.lit("p").alias("package")
+    both = make(SHEET_SCHEMA, *sheet_rows).select("*", tag), make(STATS_SCHEMA, *stats_rows).select("*", tag)
+    scoped = run_facts.import_run(*both, ["o"], ["so"], scope=["package"], with_means=True, groups="any", most=most)
+    assert {r["Sample_Name"]: r.asDict() for r in scoped.drop("package").collect()} == want
+    libraries = sheet.clean_sheet(both[0], ["o"], scope=["package"])
+    apart = run_facts.run_facts(libraries, both[1], ["o"], ["so"], 100, scope=["package"], with_means=True, groups="any", most=most)
+    assert {r["Sample_Name"]: r.asDict() for r in apart.drop("package").collect()} == want
+
+
+def test_names_are_counted_over_both_tables(make):
+    lib = "double", "half", None, None
+    libraries = make(SHEET_SCHEMA, (1, "S1", "S1.A.SG1", *lib), (2, "S1", "S1.B.SG1", *lib), (3, "S2", "S1.A.SG1", *lib))
+    stats = make(STATS_SCHEMA, stats_row(1, "S1.A.SG1"), stats_row(2, "S1"), stats_row(3, "x"), stats_row(4, "x"), stats_row(5, "x"))
+
+    def found(most):
+        hashes = run_facts.frequent_names(libraries, stats, [], "Sample_Name", "Library_ID", "Sample", most)
+        names = make("n string", *[(n,) for n in ("S1", "S2", "S1.A.SG1", "S1.B.SG1", "x")])
+        return rows(names.withColumn("_hash", run_facts.name_hash([], "n")).join(hashes, "_hash"), "n", "_listed")
+
+    assert found(2) == [("S1", 1), ("S1.A.SG1", 1), ("x", 0)]
+    assert found(3) == []
+
+
+def test_a_frequent_key_of_no_sheet_leaves_the_sheet_in_place(make, monkeypatch):
+    """Only the frequent names are written, and their QC rows are left out."""
+    lib = "double", "half", None, None
+    written = []
+    stored = run_facts.stored
+    monkeypatch.setattr(run_facts, "stored", lambda df: written.append(df.columns) or stored(df))
+    stats_rows = [stats_row(1, "S1.A.SG1", covered_snps=3), *[stats_row(i, "nobody", covered_snps=i) for i in range(2, 9)]]
+    got = facts(make, [(1, "S1", "S1.A.SG1", *lib)], stats_rows, groups="any", most=3)
+    assert got["S1"]["Nr_SNPs"] == 3
+    assert written == [["_hash", "_listed"]]
