@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import os
+import time
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -12,6 +13,7 @@ from tests.helpers import rows
 from gapwright.operators.calibrate import ONE_SIGMA, TWO_SIGMA, calibrate_dates
 from gapwright.plans import completion, context
 from gapwright.plans import presets as P
+from gapwright.session import dropped, stored
 from gapwright.sources import delimited
 
 
@@ -291,3 +293,22 @@ def test_an_empty_table_fails_in_the_job_that_reads_it(make):
     assert rows(must_have_rows(table, "nothing here")) == [("x", 1)]
     with pytest.raises(Exception, match="nothing here"):
         must_have_rows(table.where("b > 5"), "nothing here").write.format("noop").mode("overwrite").save()
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    """The table is read without the files of the shuffle that made it, and goes with `dropped`."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {b.name() for b in map(files.getAllBlocks().apply, range(files.getAllBlocks().size())) if b.isShuffle()}
+
+    before = shuffles()
+    table = stored(spark.range(1000).repartition(5, "id").groupBy((F.col("id") % 7).alias("k")).count())
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:  # they go a moment after the job
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert table.count() == 7
+    folder = os.path.dirname(table.inputFiles()[0].removeprefix("file:").replace("///", "/"))
+    dropped(table)
+    assert not os.path.exists(folder)

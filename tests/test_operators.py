@@ -30,6 +30,15 @@ def test_merge_facets(make):
     assert got == sorted([("a", 1, None, "p"), ("b", 2, 3, None), ("c", None, 4, None), (None, None, None, "q")], key=repr)
 
 
+def test_two_tables_merge_like_facets(make):
+    """Repeated and missing keys, under one key and two."""
+    a = make("k string, l string, x int", ("a", "1", 1), ("a", "1", 2), ("b", None, 3), (None, None, 4), (None, "1", 5))
+    b = make("k string, l string, y int", ("a", "1", 6), ("b", None, 7), ("b", None, 8), (None, None, 9), ("c", "2", 10))
+    for keys in (["k", "l"], ["k"]):
+        right = b if len(keys) == 2 else b.drop("l")
+        assert rows(joins.merge_two(a, right, keys), "k", "l", "x", "y") == rows(joins.merge_facets([a, right], keys), "k", "l", "x", "y")
+
+
 def test_replace_columns_matches_missing_keys(make):
     left = make("k string, a int, b int", ("x", 1, 10), (None, 2, 20))
     right = make("k string, b int", ("x", 11), (None, 21))

@@ -93,6 +93,12 @@ def test_run_facts_of_small_groups_read_each_table_once(spark, large_tables):
     assert len(exchanges(plan)) == 4
 
 
+def test_collated_facts_are_worked_out_once(spark, large_tables):
+    """Sheet and QC table: two scans, and not two for the facts and two for their keys."""
+    plan = static_plan(QUERIES["collate"](spark, SMALL))
+    assert scans(plan, "lineitem") == 2
+
+
 def test_run_facts_of_any_groups_join_and_group_without_gathering(spark, large_tables):
     plan = final_plan(QUERIES["run_import_any"](spark, SMALL))
     # the clean sheet is a table; the QC table is read once for the numbers and once, thin, for the list of counts
